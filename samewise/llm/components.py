@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     alone = pairs.where(F.col("u") == F.col("v"))
     links, first, held = pairs.where(F.col("u") != F.col("v")), path, []
     before = None
-    while True:
+    while not links.isEmpty():
         # large star: every larger neighbour of u points to the least of u and its neighbours
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
