@@ -54,6 +54,12 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Threshold(85, 100))
 
 
+def op7_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from samewise.llm.images import copies, embedding_images
+
+    return copies(embedding_images(spark, sf_dir))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from samewise.llm.secrets import scanned
 
@@ -72,7 +78,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), bpe_path(), end_id=0)
 
 
-OPERATORS: tuple[Query, ...] = (op1_language_id, op2_line_dedup, op3_token_shards, op4_url_filter, op5_piecewise_fingerprints, op6_near_duplicates, op8_secret_scan, op9_bpe_codec, op10_packing)
+OPERATORS: tuple[Query, ...] = (
+    op1_language_id, op2_line_dedup, op3_token_shards, op4_url_filter, op5_piecewise_fingerprints,
+    op6_near_duplicates, op7_image_copies, op8_secret_scan, op9_bpe_codec, op10_packing,
+)
 
 OP2_SQL = r"""
 with lines as (
