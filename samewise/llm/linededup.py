@@ -14,17 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import lower_ascii
+from samewise.llm.common import lower_ascii, stored
 
 MIN_CHARS, MIN_DOCS = 40, 5
+#: Shares into which the lines of a hash are dealt where they meet the document that keeps it.
+SALTS = 16
 _BLANK = " \t\n\x0b\f\r"
 
 
-def line_key(line: Column) -> Column:
-    """The line without ASCII blanks at both ends, A-Z in lower case."""
-    return lower_ascii(F.btrim(line, F.lit(_BLANK)))
-
-
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
@@ -32,20 +29,26 @@ def _lines(text: Column) -> Column:
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents that lose lines: doc_id, text_hash, n_lines, n_dropped and keep_runs.
 
+    A line's key is the line without ASCII blanks at both ends, A-Z in lower case.
     keep_runs lists the runs of kept lines as (start, len), start from 0. Null
     doc_ids count as no document and keep their lines; rows with one doc_id are
     one document, and rows that are equal too get one bitmap.
     """
-    lines = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= min_chars)).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.size(_lines(F.col("text"))).alias("n_lines"), F.posexplode(_lines(F.col("text"))).alias("pos", "line")
+    texts = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= min_chars)).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), _lines(lower_ascii(F.col("text"))).alias("lines")
     )
-    keyed = lines.where(F.length(F.btrim("line", F.lit(_BLANK))) >= min_chars).withColumn("key", line_key(F.col("line")))
-    keyed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "text_hash", "n_lines", "pos")
+    lines = texts.select("doc_id", "text_hash", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
+    key = F.btrim("line", F.lit(_BLANK))
+    keyed = lines.where((F.length("line") >= min_chars) & (F.length(key) >= min_chars))
+    # written once, so that texts are not split again for the range partitioning's sample and for each use
+    keyed, _ = stored(keyed.select(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"), "doc_id", "text_hash", "n_lines", "pos"), "line-hashes")
     ranged = keyed.repartitionByRange("h1", "h2", F.desc("doc_id"), "pos").sortWithinPartitions("h1", "h2", F.desc("doc_id"), "pos")
     # a document's lines with one hash lie side by side: its first is counted; at a border of two tasks the document is in both
     each = ranged.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
     seen = each.groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
-    drops = ranged.join(seen.select("h1", "h2", "keeper"), ["h1", "h2"]).where(F.col("doc_id") != F.col("keeper"))
+    salted = seen.select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    drops = keyed.withColumn("salt", salt).join(salted, ["h1", "h2", "salt"]).where(F.col("doc_id") != F.col("keeper"))
     found = drops.groupBy("doc_id", "text_hash").agg(F.max("n_lines").alias("n_lines"), F.array_sort(F.collect_set("pos")).alias("dropped"))
     before = F.concat(F.array(F.lit(-1)), "dropped")
     after = F.concat("dropped", F.array("n_lines"))
