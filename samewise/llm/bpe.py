@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from samewise.llm.common import prepared
 from samewise.llm.pretokens import WordTable
-from samewise.shipping import ship
 
 NO_RANK = np.int64(1 << 40)
 
@@ -115,7 +115,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, with_outputs: bool = Fa
     joined by commas), decoded_sha256 (of the decoded text) and, if asked for,
     ids and decoded themselves. An empty table gives no rows.
     """
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_outputs
 
     def work(batches):

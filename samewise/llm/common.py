@@ -9,6 +9,8 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samewise.shipping import ship
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
@@ -58,6 +60,15 @@ def lower_ascii(column: Column) -> Column:
     return F.when(F.octet_length(column) == F.length(column), F.lower(column)).otherwise(F.translate(column, ASCII_UPPER, ASCII_LOWER))
 
 
+def prepared(spark: SparkSession, rows: int = 1000) -> None:
+    """Ship this package, and let no more than ``rows`` rows pass to a Python worker at once: whole texts may be long."""
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = int(spark.conf.get(name))
+    if not 0 < held <= rows:
+        spark.conf.set(name, rows)
+
+
 def runs_of(texts: list[str], most_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts with about ``most_chars`` characters, at least one text each."""
     begin, held = 0, 0

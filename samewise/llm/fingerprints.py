@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from samewise.llm.common import prepared
 from samewise.llm.pretokens import powers
-from samewise.shipping import ship
 
 WINDOW, LEAST_BLOCK, PIECES, COMMON = 7, 3, 64, 7
 _ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -138,7 +138,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next.
     """
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, next_fingerprint string"
 
     def work(batches):

@@ -23,7 +23,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.shipping import ship
+from samewise.llm.common import prepared
+
 
 UNKNOWN = "und"
 _letter = regex.compile(r"\p{L}")
@@ -108,7 +109,7 @@ def predict(docs: DataFrame, model: Model, carry: list[Column] | None = None) ->
     was learned, is ``und``, with score 0, and rejected. Equal sums go to the
     language that sorts first. Rows stay as they are, whatever their doc_id.
     """
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
     carry = carry or [F.col("doc_id")]
     out = docs.select(*carry, F.col("text").alias("__text"))
     schema = out.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")

@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import remove, runs_of, stored
+from samewise.llm.common import prepared, remove, runs_of, stored
 from samewise.llm.components import connected_components
 from samewise.llm.pretokens import code_points, powers
-from samewise.shipping import ship
 
 HASHES, BATCH, MISS = 128, 32, 1e-6
-BLOCK = 512
+#: Most classes of a bucket, and of a home, in one side of a block.
+BLOCK, HOME = 512, 1000
+BLOCK_KEY = ("h1", "p1", "h2", "p2")
 _Q = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -171,59 +172,72 @@ def _signed(docs: DataFrame, threshold: Threshold) -> DataFrame:
 
 
 def _survivors(bands: int, rows: int, least: dict[int, int]):
-    """Streams rows sorted by block and yields the pairs of different components that share this band first and pass the signature test."""
+    """Streams rows sorted by bucket and yields the pairs of different components that share this band first and pass the signature test.
+
+    A bucket's pairs come packed, one row for each block in which they are
+    verified: a block is a pair of (home, part). Where the homes differ, the row
+    names its nodes too.
+    """
+    first = min(least)
 
     def pairs_of(group: dict[str, np.ndarray], band: int, crossed: bool) -> tuple[np.ndarray, np.ndarray]:
         signs, comps, side = group["signature"], group["component"], group["side"]
-        x, y = np.triu_indices(len(comps), 1)
-        keep = comps[x] != comps[y]
-        if crossed:
-            keep &= side[x] != side[y]
-        x, y = x[keep], y[keep]
-        matches = np.zeros(len(x), np.int32)
-        for n in sorted(least):
-            if not len(x):
-                break
-            # a few columns at a time keep the gathered rows small
-            for k in range(n - BATCH, n, 8):
-                matches += (signs[x, k : k + 8] == signs[y, k : k + 8]).sum(1, dtype=np.int32)
-            keep = matches >= least[n]
-            x, y, matches = x[keep], y[keep], matches[keep]
-        if len(x):
-            same = (signs[x, : bands * rows] == signs[y, : bands * rows]).reshape(len(x), bands, rows).all(2)
-            keep = same.argmax(1) == band
-            x, y = x[keep], y[keep]
-        return x, y
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for begin in range(0, len(comps), 64):  # some rows at a time against all, so that memory stays small
+            part = slice(begin, begin + 64)
+            matches = np.zeros((len(comps[part]), len(comps)), np.int16)
+            for k in range(first):
+                matches += signs[part, k, None] == signs[None, :, k]
+            keep = (matches >= least[first]) & (comps[part, None] != comps[None])
+            keep &= np.arange(len(comps))[part, None] < np.arange(len(comps))[None]
+            if crossed:
+                keep &= side[part, None] != side[None]
+            x, y = np.nonzero(keep)
+            sums, x = matches[x, y].astype(np.int32), x + begin
+            for n in sorted(least)[1:]:
+                sums = sums + (signs[x, n - BATCH : n] == signs[y, n - BATCH : n]).sum(1, dtype=np.int32)
+                keep = sums >= least[n]
+                x, y, sums = x[keep], y[keep], sums[keep]
+            if len(x):
+                same = (signs[x, : bands * rows] == signs[y, : bands * rows]).reshape(len(x), bands, rows).all(2)
+                keep = same.argmax(1) == band
+                found.append((x[keep], y[keep]))
+        return tuple(np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int))
+
+    def packed(held: list[tuple]) -> pa.RecordBatch | None:
+        if len(held) < 2:
+            return None
+        band, _, i, j = held[0][:4]
+        columns = list(zip(*held, strict=True))
+        ids, comps, homes, parts = (np.array(columns[c], np.int64) for c in (4, 5, 8, 9))
+        if (comps == comps[0]).all():
+            return None
+        signs = np.frombuffer(b"".join(columns[6]), np.uint32).reshape(len(held), HASHES)
+        x, y = pairs_of({"component": comps, "signature": signs, "side": np.array(columns[7], np.int32)}, band, i != j)
+        if not len(x):
+            return None
+        turn = (homes[x] > homes[y]) | ((homes[x] == homes[y]) & (parts[x] > parts[y]))
+        x, y = np.where(turn, y, x), np.where(turn, x, y)
+        block = np.stack([homes[x], parts[x], homes[y], parts[y]], 1)
+        order = np.lexsort(block.T[::-1])
+        out = []
+        for at in np.split(order, np.flatnonzero((np.diff(block[order], axis=0) != 0).any(1)) + 1):
+            key = block[at[0]].tolist()
+            nodes = [] if key[0] == key[2] else np.unique(np.concatenate([ids[x[at]], ids[y[at]]])).tolist()
+            out.append((*key, *(v.tobytes() for v in (ids[x[at]], ids[y[at]], comps[x[at]], comps[y[at]])), nodes))
+        kinds = (*[pa.int64()] * 4, *[pa.binary()] * 4, pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[*BLOCK_KEY, "a", "b", "ca", "cb", "nodes"])
 
     def work(batches):
         held: list[tuple] = []
-
-        def flush():
-            if len(held) < 2:
-                return None
-            ids = np.array([h[4] for h in held], np.int64)
-            group = {
-                "component": np.array([h[5] for h in held], np.int64),
-                "signature": np.frombuffer(b"".join(h[6] for h in held), np.uint32).reshape(len(held), HASHES),
-                "side": np.array([h[7] for h in held], np.int32),
-            }
-            if (group["component"] == group["component"][0]).all():
-                return None
-            x, y = pairs_of(group, held[0][0], held[0][2] != held[0][3])
-            if not len(x):
-                return None
-            comps = group["component"]
-            return pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y]), pa.array(comps[x]), pa.array(comps[y])], names=["a", "b", "ca", "cb"])
-
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and held[0][:4] != row[:4]:
-                    found = flush()
-                    held = []
+                    found, held = packed(held), []
                     if found is not None:
                         yield found
                 held.append(row)
-        found = flush()
+        found = packed(held)
         if found is not None:
             yield found
 
@@ -231,7 +245,7 @@ def _survivors(bands: int, rows: int, least: dict[int, int]):
 
 
 def _verify_block(threshold: Threshold, least: dict[int, int]):
-    """Links of one block: pairs in order of their signatures' likeness, without those whose ends are joined by then."""
+    """Links of one block: likely pairs first among some thousand at a time, without those whose ends are joined by then."""
 
     def linked(one: np.ndarray, two: np.ndarray) -> bool:
         if threshold.of * min(len(one), len(two)) < threshold.least * max(len(one), len(two)):
@@ -239,24 +253,24 @@ def _verify_block(threshold: Threshold, least: dict[int, int]):
         both = len(np.intersect1d(one, two, assume_unique=True))
         return threshold.of * both >= threshold.least * (len(one) + len(two) - both)
 
+    def numbers(column: pa.ChunkedArray) -> np.ndarray:
+        """A column of numbers, or of packed arrays of them."""
+        return np.frombuffer(b"".join(column.to_pylist()), np.int64) if pa.types.is_binary(column.type) else column.to_numpy()
+
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets: dict[int, list[np.ndarray]] = {}
-        for node, data in zip(right["node"].to_pylist(), right["shingles"].to_pylist(), strict=True):
-            sets.setdefault(node, []).append(np.frombuffer(data, np.uint64))
-        order = [(node, i) for node, held in sets.items() for i in range(len(held))]
-        row = {key: i for i, key in enumerate(order)}
-        signs = signatures([sets[node][i] for node, i in order]) if order else np.zeros((0, HASHES), np.uint32)
-        tried = []
-        for a, b, ca, cb in zip(*(left[c].to_pylist() for c in ("a", "b", "ca", "cb")), strict=True):
-            for i in range(len(sets.get(a, ()))):
-                for j in range(len(sets.get(b, ()))):
-                    same, passed = signs[row[a, i]] == signs[row[b, j]], True
-                    for n in sorted(least):
-                        if int(same[:n].sum()) < least[n]:
-                            passed = False
-                            break
-                    if passed:
-                        tried.append((-int(same.sum()), a, i, b, j, ca, cb))
+        a, b, ca, cb = (numbers(left[c]) for c in ("a", "b", "ca", "cb"))
+        nodes, sets = right["node"].to_numpy(), [np.frombuffer(x, np.uint64) for x in right["shingles"].to_pylist()]
+        order = np.argsort(nodes, kind="stable")
+        nodes = nodes[order]
+        # a node of several texts has several rows: each of its pairs meets all of them
+        first = [np.searchsorted(nodes, x) for x in (a, b)]
+        count = [np.searchsorted(nodes, x, side="right") - f for x, f in zip((a, b), first, strict=True)]
+        times = count[0] * count[1]
+        pair = np.repeat(np.arange(len(a)), times)
+        place = np.arange(len(pair)) - np.repeat(np.cumsum(times) - times, times)
+        i, j = first[0][pair] + place // np.maximum(count[1], 1)[pair], first[1][pair] + place % np.maximum(count[1], 1)[pair]
+        signs = signatures([sets[k] for k in order.tolist()]) if len(order) else np.zeros((0, HASHES), np.uint32)
+        limits = np.array([least[n] for n in sorted(least)])
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -265,11 +279,18 @@ def _verify_block(threshold: Threshold, least: dict[int, int]):
             return x
 
         out = []
-        for _, a, i, b, j, ca, cb in sorted(tried):
-            x, y = root(ca), root(cb)
-            if x != y and linked(sets[a][i], sets[b][j]):
-                parent[x] = y
-                out.append((ca, cb))
+        for at in range(0, len(pair), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            one, two, which = i[part], j[part], pair[part]
+            sums = (signs[one] == signs[two]).reshape(-1, HASHES // BATCH, BATCH).sum(2).cumsum(1)
+            tried = np.flatnonzero((sums >= limits).all(1))
+            tried = tried[np.argsort(-sums[tried, -1], kind="stable")]
+            names = ca[which[tried]].tolist(), cb[which[tried]].tolist()
+            for k, m, c1, c2 in zip(order[one[tried]].tolist(), order[two[tried]].tolist(), *names, strict=True):
+                x, y = root(c1), root(c2)
+                if x != y and linked(sets[k], sets[m]):
+                    parent[x] = y
+                    out.append((c1, c2))
         return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
 
     return work
@@ -286,35 +307,29 @@ def _bitmap_of(ids: DataFrame, column: str, expected: int) -> tuple[int, bytes]:
     return bits, bytes(data)
 
 
-def _in_bitmap(column: str, bits: int, data: bytes):
-    place = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    byte = F.conv(F.hex(F.substring(F.lit(data), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-
+def _verified(keyed: DataFrame, need: DataFrame, expected: int, docs: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links (a, b) between components that join what the pairs of each block truly link.
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links (a, b) between components that join what the pairs (a, b, ca, cb) truly link."""
+    keyed has the columns of BLOCK_KEY and a, b, ca, cb (numbers, or packed
+    arrays of them); need has BLOCK_KEY and node: whose sets a block asks for.
+    """
     words = threshold.words
-    counts = pairs.groupBy("a").agg(F.count("b").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("hot")).first()
-    other = pairs.groupBy("b").agg(F.count("a").alias("n")).agg(F.max("n").alias("hot")).first()
-    total, hot = counts["n"] or 0, max(counts["hot"] or 0, other["hot"] or 0)
-    # K x K blocks: about 2000 pairs each, and at most some thousand partners of one hot class
-    k = max(1, math.ceil(math.sqrt(total / 2000)), math.ceil(hot / 4000))
-    block = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(k))
-    keyed = pairs.withColumn("block", block("a") * k + block("b"))
-    need = keyed.select("block", F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits, data = _bitmap_of(need.select("node"), "node", 2 * total)
+    need = need.distinct()
+    bits, data = _bitmap_of(need.select("node"), "node", expected)
 
     def sets_of(batches):
+        flags = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little").view(bool)
         for batch in batches:
+            batch = batch.filter(pa.array(flags[batch.column(2).to_numpy()]))
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for begin, end in runs_of(texts, 1 << 20):
                 sets = [s.tobytes() for s in shingle_sets(texts[begin:end], words)]
                 yield pa.RecordBatch.from_arrays([ids[begin:end], pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    picked = docs.where(_in_bitmap("doc_id", bits, data)).mapInArrow(sets_of, "node long, shingles binary").where(F.length("shingles") > 0)
-    sets = need.join(picked, "node").select(F.col("block").alias("at"), "node", "shingles")
-    return keyed.groupBy("block").cogroup(sets.groupBy("at")).applyInArrow(_verify_block(threshold, threshold.least_matches()), "a long, b long")
+    placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
+    picked = placed.mapInArrow(sets_of, "node long, shingles binary").where(F.length("shingles") > 0)
+    sets = need.join(picked, "node").select(*[F.col(c).alias(f"at_{c}") for c in BLOCK_KEY], "node", "shingles")
+    return keyed.groupBy(*BLOCK_KEY).cogroup(sets.groupBy(*[f"at_{c}" for c in BLOCK_KEY])).applyInArrow(_verify_block(threshold, threshold.least_matches()), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> DataFrame:
@@ -327,13 +342,13 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     to any of its texts is a link to it, and equal rows stay equal rows.
     """
     spark = docs.sparkSession
-    ship(spark)
+    prepared(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = rows.where(F.col("doc_id").isNotNull())
     least = threshold.least_matches()
     signed, signed_at = stored(_signed(rows, threshold), "signatures")
     sound = signed.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    classes = sound.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    classes, classes_at = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep")), "class-ids")
     members, _ = stored(signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), "members")
     reps, reps_at = stored(sound.join(classes, "digest").where(F.col("doc_id") == F.col("rep")).select(F.col("rep").alias("node"), "signature"), "classes")
     # ids whose rows have different sets join the classes of these
@@ -350,7 +365,14 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     best = stars.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("l"))).alias("best"))
     leader = -F.col("best.l")
     first, first_at = stored(best.select(leader.alias("a"), F.col("node").alias("b"), leader.alias("ca"), F.col("node").alias("cb")), "pairs")
-    links = _verified(first, known, threshold).unionByName(own)
+    leaders = first.groupBy("a").agg(F.count("b").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("hot")).first()
+    total, hot = leaders["n"] or 0, leaders["hot"] or 0
+    # K x K blocks of about 2000 pairs each, with at most some thousand partners of one leader
+    k = max(1, math.ceil(math.sqrt(total / 2000)), math.ceil(hot / 4000))
+    share = {"h1": F.pmod(F.xxhash64("a"), F.lit(k)), "p1": F.lit(0).cast("long"), "h2": F.pmod(F.xxhash64("b"), F.lit(k)), "p2": F.lit(0).cast("long")}
+    keyed = first.withColumns(share)
+    need = keyed.select(*BLOCK_KEY, F.explode(F.array("a", "b")).alias("node"))
+    links = _verified(keyed, need, 2 * total, known, threshold).unionByName(own)
     joined = connected_components(links).select("node", F.col("component").alias("c"))
 
     placed = buckets.join(joined, "node", "left").withColumn("component", F.coalesce("c", "node")).select("band", "key", "node", "n", "component")
@@ -360,15 +382,26 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     left = placed.join(mixed, ["band", "key"]).withColumn("side", side.cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
     left = left.select("band", "key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "component", "side")
-    left = left.join(reps, "node").select("band", "key", "i", "j", "node", "component", "signature", "side")
-    left = left.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
-    rest, rest_at = stored(left.mapInArrow(_survivors(threshold.bands, threshold.rows, least), "a long, b long, ca long, cb long"), "pairs")
-    more = connected_components(_verified(rest, known, threshold)).select(F.col("node").alias("c"), F.col("component").alias("c2"))
+    left, left_at = stored(left, "mixed")
+    # a class's home is its leader: classes of one group meet in few blocks, large homes are parted
+    homes = left.select("node").distinct().join(first.select(F.col("b").alias("node"), F.col("a").alias("home")), "node", "left").withColumn("home", F.coalesce("home", "node"))
+    parts = homes.groupBy("home").agg(F.ceil(F.count("node") / HOME).alias("parts"))
+    homes, homes_at = stored(homes.join(parts, "home").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))), "homes")
+    rows_left = left.join(reps, "node").join(homes.select("node", "home", "part"), "node")
+    rows_left = rows_left.select("band", "key", "i", "j", "node", "component", "signature", "side", "home", "part")
+    rows_left = rows_left.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
+    schema = "h1 long, p1 long, h2 long, p2 long, a binary, b binary, ca binary, cb binary, nodes array<long>"
+    rest, rest_at = stored(rows_left.mapInArrow(_survivors(threshold.bands, threshold.rows, least), schema), "pairs")
+    within = homes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    within = within.select(F.col("home").alias("h1"), F.least("part", "other").alias("p1"), F.col("home").alias("h2"), F.greatest("part", "other").alias("p2"), "node")
+    within = within.join(rest.select(*BLOCK_KEY).distinct(), list(BLOCK_KEY), "left_semi")
+    need = within.unionByName(rest.select(*BLOCK_KEY, F.explode("nodes").alias("node")))
+    more = connected_components(_verified(rest.drop("nodes"), need, homes.count(), known, threshold)).select(F.col("node").alias("c"), F.col("component").alias("c2"))
 
     found = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
     found = found.join(more, "c", "left").withColumn("component_id", F.coalesce("c2", "c", "doc_id"))
     out, _ = stored(found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near-duplicates")
-    remove(spark, [signed_at, reps_at, buckets_at, first_at, rest_at])
+    remove(spark, [signed_at, classes_at, reps_at, buckets_at, first_at, left_at, homes_at, rest_at])
     return out
 
 

@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from samewise.llm.common import prepared
 from samewise.llm.pretokens import library_table
-from samewise.shipping import ship
 
 
 def difference(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -117,7 +117,7 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int
     spans two groups; its id is made of task, group and window. Null or repeated
     doc_ids are packed as any others; an empty table gives no rows.
     """
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     schema = ", ".join(f"`{n}` {'array<int>' if n == 'ids' else 'long'}" for n in names)
 

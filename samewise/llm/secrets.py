@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.shipping import ship
+from samewise.llm.common import prepared
+
 
 HEX_RUN = 24
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -149,7 +150,7 @@ def scanned(docs: DataFrame, carry: list[Column] | None = None) -> DataFrame:
     each span's characters replaced by ``[REDACTED]``, overlapping spans as
     one). No spans: empty strings. Rows stay as they are.
     """
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
     carry = carry or [F.col("doc_id")]
     out = docs.select(*carry, F.col("text").alias("__text"))
     schema = out.drop("__text").schema

@@ -29,9 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samewise.llm.common import new_path
+from samewise.llm.common import new_path, prepared
 from samewise.llm.pretokens import library_table
-from samewise.shipping import ship
 
 MAGIC = b"SWSST1\0"
 _FOOTER = struct.Struct("<6QII9s7s")
@@ -179,7 +178,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     equal doc_ids by a hash of the text), as a range partitioning with a sort inside deals
     them; the rows of one shard are streamed.
     """
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ordered = ordered.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
@@ -212,7 +211,7 @@ def read_token_shards(docs_spark, path: str, with_ids: bool = False) -> DataFram
     and, if asked for, the ids. Where a shard starts is a running sum over the
     shards' footers, one row per shard.
     """
-    ship(docs_spark)
+    prepared(docs_spark)
     files = docs_spark.read.format("binaryFile").load(path).where(F.col("length") > FOOTER_SIZE)
 
     def field(offset: int, size: int):
