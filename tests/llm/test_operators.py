@@ -1,0 +1,509 @@
+"""The training-data operators against brute force, and their defined results on odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from samewise.llm import bpe, components, fingerprints, images, langid, linededup, neardup, packing, queries, secrets, sstable, urlfilter
+from samewise.llm.pretokens import library_table
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_dropped string"
+LONG = " ".join(f"word{i % 977}" for i in range(40_000))
+#: Nulls in every column, empty and blank texts, a very long one, equal rows, one id with two texts, and a column whose name clashes.
+ODD = [
+    (1, None, None, None, None, None), (2, "", "en", "a", 0, "x"), (3, " \n\t ", "en", "a", 4, "x"), (4, LONG, "en", None, len(LONG), None), (5, "same row", "en", "a", 8, None),
+    (5, "same row", "en", "a", 8, None), (6, "one text of six words here", "en", "a", 1, None), (6, "other text of six words here", "en", "a", 1, None),
+    (None, "no id password=hunter2secret", "en", "a", 1, None), (7, "née <|endoftext|> 's 123\r\n　x", None, "b", None, None), (8, "a", "fr", "b", 1, None),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(rng, n, most=600):
+    return [f"w{rng.randrange(most)}" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.bpe_path())
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(4)
+    rows = [(i * 3, " ".join(words(rng, rng.randrange(1, 400))) + "\n" + rng.choice(["", "  The Same Footer line of more than forty characters\t", "x" * 39])) for i in range(60)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+# --- language ID
+
+
+def test_language_id_learns_and_rejects(spark):
+    rng = random.Random(1)
+    stems = {"aa": "the and with from there ing tion".split(), "bb": "der die und nicht schaft keit".split()}
+    rows = [(i, " ".join(rng.choice(stems[lang]) + rng.choice(["", "s", "n"]) for _ in range(60)), lang) for i, lang in enumerate(["aa", "bb"] * 60)]
+    rows += [(1000, None, "aa"), (1001, "123 ... !", "aa"), (1002, "the and with " * 3000, None), (None, "der die und nicht", "bb")]
+    out = {r["doc_id"]: r for r in langid.held_out_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    held = [i for i, _, _ in rows[:120] if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert held and all(out[i]["held_out"] for i in held) and sum(r["held_out"] for r in out.values() if r["doc_id"] is not None and r["doc_id"] < 1000) == len(held)
+    assert sum(out[i]["lang_pred"] == rows[i][2] for i in held) >= 0.95 * len(held)
+    assert (out[1000]["lang_pred"], out[1001]["lang_pred"], out[1002]["lang_pred"]) == ("und", "und", "aa")
+    assert all(0 <= r["score"] <= 1 for r in out.values()) and out[1000]["rejected"] and not out[1002]["rejected"]
+
+
+def test_language_id_of_odd_rows(odd, empty):
+    assert langid.held_out_languages(odd).count() == len(ODD) and langid.held_out_languages(empty).count() == 0
+    assert {r["lang_pred"] for r in langid.held_out_languages(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert langid.accepted(odd).columns == odd.columns
+
+
+def test_prediction_reads_text_alone(spark):
+    model = langid.Model(("aa", "bb"), (b"the and with from", b"der die und nicht"), langid.Settings())
+    frame = spark.createDataFrame([(1, "the and with from", "bb"), (2, "the and with from", None)], "doc_id long, text string, lang string")
+    got = langid.predict(frame, model).collect()
+    assert got[0][1:] == got[1][1:] and got[0]["lang_pred"] == "aa"
+
+
+# --- line dedup
+
+
+def line_key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\f\r"))
+
+
+def lines_by_hand(rows):
+    held = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            held[line_key(line)].add(i)
+    out = {}
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (len(line_key(x)) >= 40 and len(held[line_key(x)]) >= 5 and i != max(held[line_key(x)]))]
+        out[i] = (len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    return out
+
+
+def test_line_dedup(spark, corpus):
+    rows = [*corpus[0], (900, None), (901, ""), (902, "\n\n"), *[(910 + i, "É" * 40 + "a\n" + "é" * 40 + "A\nB" * (i % 2)) for i in range(6)]]
+    got = {r["doc_id"]: tuple(r)[1:] for r in linededup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == lines_by_hand(rows) and sum(v[1] for v in got.values()) > 10
+
+
+def test_line_dedup_is_native(corpus):
+    plan = linededup.deduplicated(corpus[1])._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_keep_bitmaps_are_runs(spark):
+    same = "a line of more than forty characters that repeats"
+    rows = [(i, f"own {i}\n{same}\nlast {i}") for i in range(6)]
+    runs = {r["doc_id"]: [tuple(x) for x in r["keep_runs"]] for r in linededup.keep_bitmaps(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert runs == {i: [(0, 1), (2, 1)] for i in range(5)}
+
+
+def test_line_dedup_of_odd_rows(odd, empty):
+    out = linededup.deduplicated(odd).collect()
+    assert len(out) == len(ODD) and all(r["n_dropped"] == 0 for r in out)
+    assert linededup.deduplicated(empty).count() == 0
+    assert linededup.without_repeated_lines(odd).columns == odd.columns
+    assert sorted(map(str, linededup.without_repeated_lines(odd).collect())) == sorted(map(str, odd.collect()))
+
+
+# --- token shards
+
+
+def test_token_shards(spark, tokenizer, corpus, tmp_path):
+    rows = [*corpus[0], (-5, None), (1 << 40, "a <|endoftext|> b")]
+    frame, path = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), str(tmp_path / "shards")
+    sstable.write_token_shards(frame, path, queries.bpe_path(), 2)
+    got, at = sstable.read_token_shards(spark, path, with_ids=True).orderBy("doc_id").collect(), 0
+    assert [r["doc_id"] for r in got] == sorted(i for i, _ in rows)
+    texts = dict(rows)
+    for r in got:
+        ids = tokenizer.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids + [2]
+        assert (r["start"], r["n_tokens"], r["ids"]) == (at, len(ids), ids) and r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
+def test_shard_lookup():
+    entries = [(sstable.key_of(i), np.arange(abs(i or 0) % 50, dtype=np.uint32)) for i in [None, *range(-300, 3000, 3)]]
+    data = b"".join(part + b"\n" for part in sstable.write_shard(entries, 2, block_bytes=500))
+    shard = sstable.Shard(data)
+    assert len(shard.places) > 20 and [k for k, _ in shard] == [k for k, _ in entries]
+    for key, values in entries:
+        assert shard.get(key).tolist() == values.tolist()
+    assert all(shard.get(sstable.key_of(i)) is None for i in range(-299, 3000, 3))
+    assert sum(shard.may_have(sstable.key_of(i)) for i in range(5000, 9000)) < 160
+    with pytest.raises(ValueError):
+        sstable.Shard(data[:-3] + b"??\n")
+
+
+def test_token_shards_of_odd_rows(odd, empty):
+    assert sstable.token_shards(odd, queries.bpe_path()).count() == len(ODD)
+    assert sstable.token_shards(empty, queries.bpe_path()).count() == 0
+
+
+# --- URL filter
+
+
+def page(url, target=None, kind="canonical"):
+    html = {"canonical": f'<link rel="canonical" href="{target}">', "refresh": f'<meta http-equiv="refresh" content="0; url={target}">', "og": f'<meta property="og:url" content="{target}">'}
+    return (url, html[kind] if target else "<p>canonical</p>")
+
+
+def test_url_filter(spark):
+    pages = [
+        page("http://a.com/1", "http://b.com/2"), page("https://b.com/2", "/de/x", "refresh"), page("http://b.com/de/x", "https://bad.example.com/de/q", "og"),
+        page("http://c.com/1", "http://x.net/"), page("http://c.com/2", "http://c.com/1"), page("http://c.com/3", "http://c.com/2"), page("http://q.org/fr/1", "http://c.com/3"),
+        page("http://d.com/1"), page("HTTP://WWW.Example.NET/en/?x#y"), page("http://foo.net"), page("http://foo.net/"), page("no scheme"), (None, None), ("http://É.net/ä", None),
+    ]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in urlfilter.judged(frame, urlfilter.RULES).collect()}
+    verdicts = [got[i]["verdict"] for i in range(len(pages))]
+    assert verdicts == ["block", "block", "block", "allow", "allow", "allow", "allow", "allow", "allow", "allow", "block", "allow", "allow", "block"]
+    assert [got[i]["rule"] for i in (0, 6, 8, 9, 10)] == [None, "org/fr/", "example.net/en/", None, "net/"]
+    assert (got[8]["host"], got[8]["path"], got[11]["host"], got[12]["path"], got[13]["host"]) == ("www.example.net", "/en/", "", "", "É.net")
+    many = urlfilter.RULES | {f"host{i}.com/": "block" for i in range(100)}
+    assert {r["page_id"]: r["verdict"] for r in urlfilter.judged(frame, many).collect()} == dict(enumerate(verdicts))
+    assert urlfilter.judged(frame.limit(0), urlfilter.RULES).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(500, 540)] + [(900, 900 + i) for i in range(60)] + [(7, None)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if b is not None:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: root(n) for n in parent}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- fingerprints
+
+
+def test_fingerprints(spark, corpus):
+    rows = sorted([*corpus[0], (7, None), (8, "short"), (10_000, LONG)])
+    got = {r["doc_id"]: r for r in fingerprints.fingerprinted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, (doc_id, text) in enumerate(rows):
+        text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
+        changed = fingerprints.edited(text, after)
+        r = got[doc_id]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (fingerprints.fingerprint(text), fingerprints.fingerprint(changed))
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    long = [got[i] for i, t in rows if t and len(t) > 300 and t is not LONG]
+    assert np.median([r["near_edited"] for r in long]) > 0.5 and np.median([r["near_next"] for r in long]) < 0.2
+
+
+def slow_boundaries(data, size):
+    ends = []
+    for i in range(len(data)):
+        window = np.frombuffer(data[max(0, i - 6) : i + 1], np.uint8)
+        if int(fingerprints.rolling(window)[-1]) % size == size - 1:
+            ends.append(i)
+    return ends
+
+
+def test_boundaries_depend_on_seven_bytes():
+    data = "".join(words(random.Random(2), 100)).encode()
+    hashes = fingerprints.rolling(np.frombuffer(data, np.uint8))
+    assert np.flatnonzero(hashes[6:] % 12 == 11).tolist() == [i - 6 for i in slow_boundaries(data, 12) if i >= 6]
+
+
+def test_fingerprints_of_odd_rows(odd, empty):
+    assert fingerprints.fingerprinted(odd).count() == len(ODD) and fingerprints.fingerprinted(empty).count() == 0
+    assert fingerprints.fingerprinted(odd.where("doc_id = 8")).first()["near_next"] == 1
+
+
+# --- near-duplicates
+
+
+def shingles(text):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(parts[i : i + 5]) for i in range(len(parts) - 4)} if len(parts) >= 5 else {tuple(parts)} if parts else set()
+
+
+def groups_by_hand(rows, least):
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= least * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i: (len(sets[i]), root(i), root(i) == i) for i in ids}
+
+
+@pytest.mark.parametrize("least", [80, 85])
+def test_near_duplicates(spark, least):
+    rng, rows = random.Random(least), []
+    base = words(rng, 130)
+    for i in range(400):  # a large group whose pairs lie around the threshold
+        copy = list(base)
+        for _ in range(rng.randrange(6)):
+            copy[rng.randrange(len(copy))] = f"z{rng.randrange(10**6)}"
+        rows.append((3 * i + 1, " ".join(copy)))
+    rows += [(5000 + i, " ".join(words(rng, 50))) for i in range(50)] + [(6000, "Hi there"), (6001, "hi\t THERE"), (6002, None), (6003, " \n"), (6004, "")]
+    got = {r["doc_id"]: tuple(r)[1:] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Threshold(least)).collect()}
+    assert got == groups_by_hand(rows, least)
+
+
+def test_blocks_and_homes_of_any_size_agree(spark, monkeypatch):
+    rng, rows = random.Random(9), []
+    base = words(rng, 120)
+    for i in range(150):
+        copy = list(base)
+        for _ in range(rng.randrange(7)):
+            copy[rng.randrange(len(copy))] = f"z{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "HOME", 20)
+    got = {r["doc_id"]: tuple(r)[1:] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Threshold(85)).collect()}
+    assert got == groups_by_hand(rows, 85)
+
+
+def test_bayes_limits():
+    for threshold in (neardup.Threshold(80), neardup.Threshold(85)):
+        least = threshold.least_matches()
+        assert sorted(least) == [32, 64, 96, 128] and list(least.values()) == sorted(least.values())
+        assert (1 - threshold.value**threshold.rows) ** threshold.bands <= neardup.MISS
+        rng = np.random.default_rng(1)
+        assert (rng.binomial(128, threshold.value, 200_000) < least[128]).mean() < 1e-4
+
+
+def test_near_duplicates_of_odd_rows(odd, empty):
+    out = neardup.near_duplicates(odd).collect()
+    assert len(out) == len(ODD) and all(r["kept"] for r in out)
+    assert [r["component_id"] for r in out if r["doc_id"] is None] == [None]
+    assert neardup.near_duplicates(empty).count() == 0
+    assert neardup.one_of_each(odd).count() == len(ODD) and neardup.one_of_each(odd).columns == odd.columns
+
+
+def test_an_id_with_two_texts_joins_both(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    frame = spark.createDataFrame([(1, one), (9, one), (9, two), (4, two)], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(frame).collect()} == {(1, 1), (9, 1), (4, 1)}
+
+
+# --- images
+
+
+def test_image_copies(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(0, 0.125, (12, 64)).tolist()
+    rows = [(10 * i, images.render(v, 0, 0)) for i, v in enumerate(vectors)] + [(10 * i + k, images.render(vectors[i], k, i)) for i in range(4) for k in (1, 2, 3)]
+    rows += [(500, images.render(vectors[0], 0, 0)), (501, None), (502, b"junk"), (503, b"P5\n1 1\n255\n\x00"), (None, images.render(vectors[1], 0, 0)), (504, b"P5\n99 99\n255\n")]
+    got = {r["image_id"]: r for r in images.copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    assert len(got) == len(rows)
+    for image_id, r in got.items():
+        if image_id is not None:
+            assert r["class_id"] == (0 if image_id == 500 else image_id if image_id > 500 else image_id // 10 * 10)
+    assert got[None]["class_id"] is None and got[501]["n_corners"] == 0 and got[0]["n_links"] >= 1
+    assert images.copies(spark.createDataFrame([], "image_id long, image binary")).count() == 0
+
+
+def test_a_common_key_is_not_paired_with_all(spark, monkeypatch):
+    monkeypatch.setattr(images, "SMALL", 3)
+    rng = np.random.default_rng(6)
+    vector = rng.normal(0, 0.125, 64).tolist()
+    rows = [(i, images.render(vector, 2, i)) for i in range(40)]
+    got = images.copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()
+    assert {r["class_id"] for r in got} == {0} and sum(r["n_links"] for r in got) < 400
+
+
+# --- secrets
+
+BASE = (
+    (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6),
+    (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+)
+
+
+def base_spans(text):
+    return sorted((m.start(), k, m.end()) for k, (pattern, ok) in enumerate(BASE) for m in pattern.finditer(text) if ok(m))
+
+
+def with_checksum(prefix, body):
+    value, out = zlib.crc32((prefix + body).encode()[-30:]), ""
+    while value:
+        value, d = divmod(value, 62)
+        out = secrets._BASE62[d] + out
+    return prefix + body + out.rjust(6, "0")
+
+
+def test_secret_scan_matches_plain_expressions():
+    rng = random.Random(8)
+    parts = ["password", "PASSWD", "token", "api_key", "apikey", "ſecret", "secret", "=", ": ", "\"'", "abc", "AKIA", "0123456789abcdef", "deadbeef" * 3, "Z9", " ", "é", "\n", "X" * 20, "K", "_", "f" * 23]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert [s for s in secrets.scan(text) if s[1] < 3] == base_spans(text), text
+
+
+def test_secret_checksums():
+    token = with_checksum("ghp_", "a1B2" * 7 + "xy")
+    assert "forge" in secrets.joined(secrets.scan(f"x {token} y"))
+    assert "forge" not in secrets.joined(secrets.scan(f"x {token[:-1]}{'0' if token[-1] != '0' else '1'} y"))
+    assert "card" in secrets.joined(secrets.scan("card: 4111 1111 1111 1111")) and "card" not in secrets.joined(secrets.scan("card: 4111 1111 1111 1112"))
+    assert "iban" in secrets.joined(secrets.scan("IBAN GB82 WEST 1234 5698 7654 32")) and "iban" not in secrets.joined(secrets.scan("IBAN GB83 WEST 1234 5698 7654 32"))
+
+
+def test_secret_scan_of_odd_rows(odd, empty):
+    out = {r["doc_id"]: r for r in secrets.scanned(odd).collect()}
+    assert out[None]["spans"] == "assign:6:28" and out[None]["redacted"] == "no id [REDACTED]" and out[1]["redacted"] is None and out[2]["spans"] == ""
+    assert secrets.scanned(empty).count() == 0 and secrets.redacted(odd).columns == odd.columns and secrets.redacted(odd).count() == len(ODD)
+
+
+# --- BPE
+
+
+def test_codec_matches_the_library(spark, tokenizer):
+    rng = random.Random(1)
+    alphabet = list("aab'sdtmrevl  \n\t\r1２é中 　!.' \x1c\x85😀ß՘")
+    texts = ["", "it's 're've'll o'clock", "aaaa" * 50, "a<|endoftext|>b<|endoftext|>", *["".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(3000)]]
+    vocabulary, table, _ = bpe.numpy_table(queries.bpe_path())
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in table.encode(texts, most_chars=500)] == expected
+    assert [x.tolist() for x in library_table(queries.bpe_path()).encode(texts)] == expected
+    assert [vocabulary.decode(x) for x in expected] == tokenizer.decode_batch(expected, skip_special_tokens=False)
+    assert vocabulary.decode([128, 200]) == tokenizer.decode([128, 200], skip_special_tokens=False)
+
+
+def test_codec_of_odd_rows(odd, empty, tokenizer):
+    out = bpe.encode_decode(odd, queries.bpe_path(), with_outputs=True).collect()
+    assert sorted(r["decoded"] for r in out) == sorted(r[1] or "" for r in ODD)
+    for r in out:
+        ids = tokenizer.encode(r["decoded"], add_special_tokens=False).ids
+        assert r["ids"] == ids and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert bpe.encode_decode(empty, queries.bpe_path()).count() == 0
+
+
+def test_word_table_starts_anew_when_full(tokenizer):
+    table = library_table(queries.bpe_path())
+    small = type(table)(table.encode_words, table.special, most=10)
+    texts = [f"text {i} of many {i * 7}" for i in range(200)]
+    assert [x.tolist() for t in texts for x in small.encode([t])] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+# --- packing
+
+
+def test_packing(spark, tokenizer, corpus):
+    rows = [*corpus[0], (7, None), (8, LONG)]
+    got, docs, sequences = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), queries.bpe_path(), group_docs=20, with_ids=True).collect(), defaultdict(list), defaultdict(list)
+    for r in got:
+        docs[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    for doc_id, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        pieces = sorted(docs[doc_id], key=lambda r: r["start"])
+        assert sum((p["ids"] for p in pieces), []) == ids and [p["start"] for p in pieces] == [sum(q["length"] for q in pieces[:i]) for i in range(len(pieces))]
+        assert all(p["doc_tokens"] == len(ids) and p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes()) for p in pieces)
+    total = padding = 0
+    for pieces in sequences.values():
+        at = 0
+        for p in sorted(pieces, key=lambda r: r["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= 1024
+        total, padding = total + at, padding + 1024 - at
+    assert padding < 0.05 * total
+
+
+def test_differencing_is_near_equal():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 257, 900)
+    loads = np.bincount(packing.difference(sizes, 120), sizes, 120)
+    assert loads.sum() == sizes.sum() and loads.max() - loads.min() <= 40
+    assert packing.difference(np.array([8, 7, 6, 5, 4]), 2).tolist().count(0) in (2, 3)
+    for k in (1, 2, 7):
+        assert len(packing.difference(np.array([5]), k)) == 1
+
+
+def test_windows_rise_with_the_capacity():
+    doc, start, length, window, offset = packing.pack_group(np.array([700, 700, 700, 1, 2049]), 1024, 256)
+    assert np.bincount(window, length).max() <= 1024 and length.sum() == 4150
+
+
+def test_packing_of_odd_rows(odd, empty):
+    out = packing.packed(odd, queries.bpe_path()).collect()
+    assert sum(r["start"] == 0 for r in out) == len(ODD)
+    assert packing.packed(empty, queries.bpe_path()).count() == 0
+
+
+# --- pipeline
+
+
+def test_pipeline_by_hand(spark, tmp_path, tokenizer):
+    rng = random.Random(6)
+    stems = {"aa": "the and with from there ing tion".split(), "bb": "der die und nicht schaft keit".split()}
+    footer = "this very footer line stands at the end of every page"
+    rows = []
+    for i in range(80):
+        lang = "aa" if i % 2 else "bb"
+        rows.append((i, " ".join(rng.choice(stems[lang]) + rng.choice(stems[lang]) for _ in range(60)) + (f"\n{footer}" if lang == "aa" else ""), lang, "s", 1, None))
+    rows += [(100, rows[0][1] + " password=hunter2hunter2", "bb", "s", 1, None), (101, None, "aa", "s", 1, None), (102, "12 34", "aa", "s", 1, None), (103, "der die und nicht password=hunter2hunter2 und die", "bb", "s", 1, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r["doc_id"]: r["text"] for r in langid.accepted(docs).collect()}
+    assert not {101, 102} & set(kept) and len(kept) >= 75
+    last = max(i for i, t in kept.items() if footer in t)
+    kept = {i: "\n".join(x for x in t.split("\n") if x != footer or i == last) for i, t in kept.items()}
+    groups = groups_by_hand(list(kept.items()), 80)
+    kept = {i: t for i, t in kept.items() if groups[i][2]}
+    assert 100 not in kept and 103 in kept
+    kept[103] = kept[103].replace("password=hunter2hunter2", "[REDACTED]")
+    out = defaultdict(list)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        out[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"]))
+    assert set(out) == set(kept)
+    for i, text in kept.items():
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        assert sum(n for _, n, _ in out[i]) == len(ids)
+        assert all(crc == zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()) for s, n, crc in out[i])
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd, empty):
+    for docs in (odd, empty):
+        for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, "")
+            if n < len(corpus_pipeline.STAGES) - 1:
+                assert out.columns == docs.columns
+            out.collect()
