@@ -103,7 +103,7 @@ def rerank_bonus() -> Column:
 
 def _best(pairs: DataFrame, score: str, most: int) -> DataFrame:
     order = W.partitionBy("s1").orderBy(F.desc(score), "cid")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).withColumn("rank", F.col("rank").cast("long"))
 
 
 def shortlist(pairs_with_metadata: DataFrame, most: int = SHORTLIST) -> DataFrame:
@@ -128,7 +128,7 @@ def candidate_lists(s1: DataFrame, ranked: DataFrame) -> DataFrame:
 def exploded(lists: DataFrame, ids: str = "candidate_entity_ids", key: str = "source1_entity_id") -> DataFrame:
     """s1, cid, rank of comma lists; ids are trimmed and blank ones dropped."""
     rows = lists.select(F.col(key).alias("s1"), F.posexplode(F.split(F.coalesce(ids, F.lit("")), ",")).alias("pos", "raw"))
-    return rows.select("s1", F.trim("raw").alias("cid"), (F.col("pos") + 1).alias("rank")).where(F.col("cid") != "")
+    return rows.select("s1", F.trim("raw").alias("cid"), (F.col("pos") + 1).cast("long").alias("rank")).where(F.col("cid") != "")
 
 
 def remaining(s1: DataFrame, finished: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ def normalized(records: DataFrame, tail: bool = True) -> DataFrame:
     return rows.withColumns({
         "country_norm": t.country_norm(F.col("country")), "name_key": t.name_key(core), "pin": t.pin(address), "city": t.city(address),
         "house_feat": t.house_no(address), "house_no": t.house_no(address, blocking=True), "sig_tokens": t.sig_tokens(core), "addr_tokens": t.addr_tokens(address),
-        "name_tokens": t.token_count(name), "addr_tokens_n": t.token_count(address), "name_len": F.length(name), "addr_len": F.length(address),
+        "name_tokens": t.token_count(name).cast("long"), "addr_tokens_n": t.token_count(address).cast("long"),
+        "name_len": F.length(name).cast("long"), "addr_len": F.length(address).cast("long"),
     })
 
 
