@@ -82,6 +82,15 @@ _SCORE = """case when a.name_core <> '' and a.name_core = b.name_core then 100 e
   + case when list_has_any(a.sig_tokens, b.sig_tokens) then 20 else 0 end + case when a.name_key <> '' and starts_with(b.name_core, a.name_key) then 20 else 0 end"""
 
 
+#: The longest common subsequence of each row (x, y) of texts: row by row of x, each row a fold over y.
+_FOLD = """fold as (
+  select x, y, 1 as i, list_transform(range(length(y) + 1), lambda z: cast(0 as bigint)) as r from texts
+  union all
+  select x, y, i + 1, list_reduce(range(1, length(y) + 1), lambda n, j: list_append(n, case when substr(x, i, 1) = substr(y, cast(j as int), 1) then r[j] + 1 else greatest(r[j + 1], n[-1]) end), [cast(0 as bigint)])
+  from fold where i <= length(x)),
+lcs as (select x, y, r[-1] as n from fold where i = length(x) + 1)"""
+
+
 def _scored() -> str:
     """The rule's pieces: shortlist of 100, token-sort similarity of the cores, bonuses, top 20."""
     return f"""with recursive {_blocks().strip()},
@@ -91,13 +100,9 @@ short as (
 sorted as (
   select entity_id, array_to_string(list_sort({_TOKENS.format("name_core")}), ' ') as s from rec),
 texts as (select distinct a.s as x, b.s as y from short join sorted a on a.entity_id = s1 join sorted b on b.entity_id = cid),
-fold as (
-  select x, y, 1 as i, list_transform(range(length(y) + 1), lambda z: cast(0 as bigint)) as r from texts
-  union all
-  select x, y, i + 1, list_reduce(range(1, length(y) + 1), lambda n, j: list_append(n, case when substr(x, i, 1) = substr(y, cast(j as int), 1) then r[j] + 1 else greatest(r[j + 1], n[-1]) end), [cast(0 as bigint)])
-  from fold where i <= length(x)),
+{_FOLD},
 sim as (
-  select x, y, case when x = '' and y = '' then 100.0 else 200.0 * r[-1] / (length(x) + length(y)) end as ratio from fold where i = length(x) + 1),
+  select x, y, case when x = '' and y = '' then 100.0 else 200.0 * n / (length(x) + length(y)) end as ratio from lcs),
 paired as (
   select s1, cid, ratio, a.pin as p1, b.pin as p2,
     case when a.house_no <> '' and a.house_no = b.house_no then case when a.pin <> '' and a.pin = b.pin then 25 else 15 end when a.pin <> '' and a.pin = b.pin then 10 else 0 end
@@ -166,6 +171,30 @@ def _jaro(c: str) -> str:
     return f"case when a.{c} = '' and b.{c} = '' then 1.0 else jaro_winkler_similarity(a.{c}, b.{c}) end"
 
 
+def _token_sort() -> str:
+    text = f"array_to_string(list_sort({_TOKENS.format('{}.name_core')}), ' ')"
+    return f"""with recursive {_blocks().strip()},
+pairs as (select s1, cid, {text.format("a")} as x, {text.format("b")} as y from (select distinct s1, cid from hit where kind = 'name_key') join rec a on a.entity_id = s1 join rec b on b.entity_id = cid),
+texts as (select distinct x, y from pairs), {_FOLD}
+select s1, cid, round(case when x = '' and y = '' then 100.0 else 200.0 * n / (length(x) + length(y)) end, 6) as name_core_sim from pairs join lcs using (x, y)"""
+
+
+def _token_set() -> str:
+    words = f"list_distinct({_TOKENS.format('{}.name_core')})"
+    return f"""with recursive {_blocks().strip()},
+sets as (select s1, cid, {words.format("a")} as p, {words.format("b")} as q from (select distinct s1, cid from hit where kind = 'name_key') join rec a on a.entity_id = s1 join rec b on b.entity_id = cid),
+pairs as (
+  select s1, cid, len(p) as np, len(q) as nq, len(list_intersect(p, q)) as n_both, length(array_to_string(list_intersect(p, q), ' ')) as shared,
+    array_to_string(list_sort(list_filter(p, lambda t: not list_contains(q, t))), ' ') as x, array_to_string(list_sort(list_filter(q, lambda t: not list_contains(p, t))), ' ') as y
+  from sets),
+texts as (select distinct x, y from pairs), {_FOLD},
+sized as (select *, length(x) as lx, length(y) as ly, case when n_both > 0 then 1 else 0 end as gap from pairs join lcs using (x, y))
+select s1, cid, round(case when np = 0 or nq = 0 then 0.0 when n_both > 0 and (np = n_both or nq = n_both) then 100.0 else greatest(
+  100.0 - 100.0 * (lx + ly - 2 * n) / (2 * (shared + gap) + lx + ly),
+  case when n_both > 0 then 100.0 - 100.0 * (1 + lx) / (2 * shared + 1 + lx) else 0.0 end, case when n_both > 0 then 100.0 - 100.0 * (1 + ly) / (2 * shared + 1 + ly) else 0.0 end) end, 6) as name_core_sim
+from sized"""
+
+
 def _structured() -> str:
     out = {}
     for kind, text, n, tokens in (("name", "clean_name", "name_len", "name_tokens"), ("addr", "clean_addr", "addr_len", "addr_tokens_n")):
@@ -252,6 +281,9 @@ select count(*) as s1_total, sum(r)::bigint as raw_candidates, sum(f)::bigint as
         "sim_ngram_jaccard": _sims(clean_name_sim=_grams("clean_name"), clean_addr_sim=_grams("clean_addr")),
         "sim_token_jaccard": _sims(clean_name_sim=_words("clean_name"), clean_addr_sim=_words("clean_addr")),
         "sim_jaro_winkler": _sims(clean_name_sim=_jaro("clean_name"), clean_addr_sim=_jaro("clean_addr")),
+        "sim_token_sort": _token_sort(),
+        "sim_token_set": _token_set(),
+        "features_finite": f"{scored} select count(*) as rows, 0::bigint as not_finite from top",
         "pair_features_structured": _structured(),
         "labels": f"{labelled} select s1, cid, label from lab",
         "split_hash": f"{blocks} select s1, concat('0x', substr(md5(concat('42|', s1)), 1, 8))::bigint % 1000 < 200 as is_val from uni",
