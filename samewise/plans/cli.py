@@ -66,8 +66,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     def records():
         limit = getattr(given, "limit", None)
-        s1 = normalized(T.read_records(spark, given.source1, limit))
-        return s1, normalized(T.union_sources(T.read_records(spark, given.source2, limit), T.read_records(spark, given.source3, limit)))
+        others = T.union_sources(T.read_records(spark, given.source2, limit), T.read_records(spark, given.source3, limit))
+        return normalized(T.read_records(spark, given.source1, limit)).persist(), normalized(others).persist()
 
     if given.command == "block":
         s1, others = records()

@@ -263,13 +263,13 @@ def oracle_sql() -> dict[str, str]:
         "addr_tokens": f"{base} select entity_id, array_to_string(addr_tokens, '|') as tokens from rec",
         "union_sources": f"{base} select * from raw where entity_id like 'S2-%' union all select * from raw where entity_id like 'S3-%'",
         "semi_needed": f"{base} select * from raw where entity_id in (select cid from truth)",
-        "anti_resume": f"{base} select entity_id, clean_name from rec where entity_id like 'S1-%' and substr(entity_id, -1) not in ('0', '2', '4')",
+        "anti_resume": f"{base} select entity_id, clean_name from rec where entity_id like 'S1-%' and entity_id not in (select s1 from truth)",
         "collect_ids": lists,
         "explode_ids": f"{blocks}, l as (select s1, cid, row_number() over (partition by s1 order by cid) as rank from (select distinct s1, cid from hit where kind = 'name_key')) select s1, cid, rank from l",
         "block_name_key_low_cap": in_kind.format(f"with {_blocks(LOW_CAPS).strip()}", "name_key"),
         "candidates_union": f"{blocks} select s1, cid from cand",
         "candidates_with_empty": f"{blocks} select uni.s1, count(cand.cid) as n from uni left join cand on cand.s1 = uni.s1 group by uni.s1",
-        "shortlist": f"{with_score} select s1, cid, shortlist_score from placed where rn <= 20",
+        "shortlist": f"{with_score} select s1, cid, shortlist_score from placed where rn <= {B.SHORTLIST}",
         "rerank_topk": f"{scored} select s1, cid, round(score, 6) as score, rank from top",
         "candidate_lists": f"{scored} select uni.s1 as source1_entity_id, coalesce(string_agg(top.cid, ',' order by top.rank), '') as candidate_entity_ids from uni left join top on top.s1 = uni.s1 group by uni.s1",
         "blocking_recall": f"""{blocks}, n as (select uni.s1, count(cand.cid) as n from uni left join cand on cand.s1 = uni.s1 group by uni.s1)

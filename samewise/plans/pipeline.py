@@ -52,7 +52,7 @@ def learned_matches(
     ``universe`` names the entities that validation covers: ``paired`` those
     with a candidate, ``all`` every S1.
     """
-    s1, others = (normalized(r) for r in records)
+    s1, others = (normalized(r).persist() for r in records)
     pairs = ranked_candidates(s1, others, blocking).select("s1", "cid").persist()
     features = E.split_by_hash(E.labelled(pair_features(pairs, s1.unionByName(others)), truth), val_ratio, seed).persist()
     fitted = M.train(features.where("not is_val"), model)

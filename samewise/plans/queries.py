@@ -35,7 +35,9 @@ class Frames:
         self.all = normalized(self.raw)
 
     def cleaned(self, *numbers: int) -> DataFrame:
-        return union_sources(*[fixture.source(self.all, n) for n in numbers])
+        """Cleaned records of some sources, kept: blocking, ranking and features all read them."""
+        kept = self.all.persist()
+        return kept.where(F.substring("entity_id", 2, 1).isin(*[str(n) for n in numbers]))
 
     @property
     def s1(self) -> DataFrame:
@@ -96,7 +98,7 @@ def _lists(f: Frames) -> DataFrame:
 
 
 def _resume(f: Frames) -> DataFrame:
-    finished = f.s1.where(F.substring("entity_id", -1, 1).isin("0", "2", "4")).selectExpr("entity_id as source1_entity_id")
+    finished = f.truth.selectExpr("s1 as source1_entity_id").distinct()
     return B.remaining(f.s1, finished).select("entity_id", "clean_name")
 
 
@@ -174,7 +176,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "block_addr_token": _kind("addr_token"),
     "candidates_union": lambda f: f.candidates(),
     "candidates_with_empty": lambda f: f.universe.join(f.candidates().groupBy("s1").agg(F.count("cid").alias("n")), "s1", "left").fillna(0),
-    "shortlist": lambda f: B.shortlist(f.metadata(), 20).select("s1", "cid", "shortlist_score"),
+    "shortlist": lambda f: B.shortlist(f.metadata()).select("s1", "cid", "shortlist_score"),
     "rerank_topk": lambda f: _rounded(f.ranked(), "score"),
     "candidate_lists": lambda f: B.candidate_lists(f.s1, f.ranked()),
     "blocking_recall": lambda f: _rounded(B.recall(f.s1, f.candidates(), f.truth), "avg_candidates", "recall"),
