@@ -29,13 +29,14 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samewise.llm.common import prepared, remove, runs_of, stored
 from samewise.llm.components import connected_components
-from samewise.llm.pretokens import code_points, powers
+from samewise.llm.pretokens import RUN_CHARS, code_points, powers
 
 HASHES, BATCH, MISS = 128, 32, 1e-6
 #: Most classes of a bucket, and of a home, in one side of a block.
@@ -157,7 +158,7 @@ def _signed(docs: DataFrame, threshold: Threshold) -> DataFrame:
     def work(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for begin, end in runs_of(texts, 1 << 20):
+            for begin, end in runs_of(texts, RUN_CHARS):
                 sets = shingle_sets(texts[begin:end], words)
                 some = [s for s in sets if len(s)]
                 rows = iter(signatures(some)) if some else iter(())
@@ -307,6 +308,28 @@ def _bitmap_of(ids: DataFrame, column: str, expected: int) -> tuple[int, bytes]:
     return bits, bytes(data)
 
 
+def _listed(data: bytes, places: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(data, np.uint8)[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _rows_of(rows: DataFrame, wanted: DataFrame, expected: int, schema: str, make=None) -> DataFrame:
+    """The rows whose doc_id may be a wanted node, by a bitmap that goes to each task: few rows are left for the join that decides.
+
+    ``make`` turns batches of them into others of ``schema``, in the same worker.
+    """
+    bits, data = _bitmap_of(wanted.select("node"), "node", expected)
+
+    def pick(batches):
+        for batch in batches:
+            last = batch.num_columns - 1
+            yield batch.filter(pa.array(_listed(data, batch.column(last).to_numpy()))).select(range(last))
+
+    def work(batches):
+        return make(pick(batches)) if make else pick(batches)
+
+    return rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(bits))).mapInArrow(work, schema)
+
+
 def _verified(keyed: DataFrame, need: DataFrame, expected: int, docs: DataFrame, threshold: Threshold) -> DataFrame:
     """Links (a, b) between components that join what the pairs of each block truly link.
 
@@ -315,19 +338,15 @@ def _verified(keyed: DataFrame, need: DataFrame, expected: int, docs: DataFrame,
     """
     words = threshold.words
     need = need.distinct()
-    bits, data = _bitmap_of(need.select("node"), "node", expected)
 
     def sets_of(batches):
-        flags = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little").view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(flags[batch.column(2).to_numpy()]))
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for begin, end in runs_of(texts, 1 << 20):
+            for begin, end in runs_of(texts, RUN_CHARS):
                 sets = [s.tobytes() for s in shingle_sets(texts[begin:end], words)]
                 yield pa.RecordBatch.from_arrays([ids[begin:end], pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
-    picked = placed.mapInArrow(sets_of, "node long, shingles binary").where(F.length("shingles") > 0)
+    picked = _rows_of(docs.select("doc_id", "text"), need, expected, "node long, shingles binary", sets_of).where(F.length("shingles") > 0)
     sets = need.join(picked, "node").select(*[F.col(c).alias(f"at_{c}") for c in BLOCK_KEY], "node", "shingles")
     return keyed.groupBy(*BLOCK_KEY).cogroup(sets.groupBy(*[f"at_{c}" for c in BLOCK_KEY])).applyInArrow(_verify_block(threshold, threshold.least_matches()), "a long, b long")
 
@@ -350,16 +369,17 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     sound = signed.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     classes, classes_at = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep")), "class-ids")
     members, _ = stored(signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), "members")
-    reps, reps_at = stored(sound.join(classes, "digest").where(F.col("doc_id") == F.col("rep")).select(F.col("rep").alias("node"), "signature"), "classes")
     # ids whose rows have different sets join the classes of these
     several = sound.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where(F.col("lo") != F.col("hi")).select("doc_id")
     own = members.where(F.col("rep").isNotNull()).join(several, "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
+    # only band keys pass through the join that picks one row of each class; signatures stay in their table
     size = 4 * threshold.rows
-    places = [F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.substring("signature", 1 + i * size, size)).alias("key")) for i in range(threshold.bands)]
-    banded = reps.select("node", F.explode(F.array(*places)).alias("at")).select("at.band", "at.key", "node")
-    shared = banded.groupBy("band", "key").agg(F.count("node").alias("n"), F.min("node").alias("leader"), F.max("node").alias("last")).where(F.col("leader") != F.col("last"))
-    buckets, buckets_at = stored(banded.join(shared.drop("last"), ["band", "key"]), "buckets")
+    places = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * size, size)) for i in range(threshold.bands)])
+    picked = sound.select("doc_id", "digest", places.alias("keys")).join(classes, "digest").where(F.col("doc_id") == F.col("rep"))
+    banded, banded_at = stored(picked.select(F.col("rep").alias("node"), F.posexplode("keys").alias("band", "key")), "bands")
+    shared = banded.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where(F.col("leader") != F.col("last"))
+    buckets, buckets_at = stored(banded.join(shared.drop("last"), "key"), "buckets")
 
     stars = buckets.where(F.col("node") != F.col("leader")).groupBy("node", "leader").agg(F.count("band").alias("n"))
     best = stars.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("l"))).alias("best"))
@@ -375,11 +395,11 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     links = _verified(keyed, need, 2 * total, known, threshold).unionByName(own)
     joined = connected_components(links).select("node", F.col("component").alias("c"))
 
-    placed = buckets.join(joined, "node", "left").withColumn("component", F.coalesce("c", "node")).select("band", "key", "node", "n", "component")
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("band", "key")
+    placed = buckets.join(joined, "node", "left").withColumn("component", F.coalesce("c", "node")).select("band", "key", "node", "component")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("node").alias("n")).where(F.col("lo") != F.col("hi")).select("key", "n")
     blocks = F.ceil(F.col("n") / BLOCK)
     side = F.pmod(F.xxhash64("node"), blocks)
-    left = placed.join(mixed, ["band", "key"]).withColumn("side", side.cast("int"))
+    left = placed.join(mixed, "key").withColumn("side", side.cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
     left = left.select("band", "key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "component", "side")
     left, left_at = stored(left, "mixed")
@@ -387,7 +407,9 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     homes = left.select("node").distinct().join(first.select(F.col("b").alias("node"), F.col("a").alias("home")), "node", "left").withColumn("home", F.coalesce("home", "node"))
     parts = homes.groupBy("home").agg(F.ceil(F.count("node") / HOME).alias("parts"))
     homes, homes_at = stored(homes.join(parts, "home").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))), "homes")
-    rows_left = left.join(reps, "node").join(homes.select("node", "home", "part"), "node")
+    signs = _rows_of(signed.select("doc_id", "digest", "signature"), homes, homes.count(), "doc_id long, digest binary, signature binary")
+    signs = signs.join(classes, "digest").where(F.col("doc_id") == F.col("rep")).select(F.col("rep").alias("node"), "signature")
+    rows_left = left.join(homes.select("node", "home", "part"), "node").join(signs, "node")
     rows_left = rows_left.select("band", "key", "i", "j", "node", "component", "signature", "side", "home", "part")
     rows_left = rows_left.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
     schema = "h1 long, p1 long, h2 long, p2 long, a binary, b binary, ca binary, cb binary, nodes array<long>"
@@ -401,11 +423,25 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     found = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
     found = found.join(more, "c", "left").withColumn("component_id", F.coalesce("c2", "c", "doc_id"))
     out, _ = stored(found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near-duplicates")
-    remove(spark, [signed_at, classes_at, reps_at, buckets_at, first_at, left_at, homes_at, rest_at])
+    remove(spark, [signed_at, classes_at, banded_at, buckets_at, first_at, left_at, homes_at, rest_at])
     return out
 
 
 def one_of_each(docs: DataFrame, threshold: Threshold = Threshold()) -> DataFrame:
-    """The documents with their columns as they are, one of each group (the smallest doc_id); of rows with that doc_id all stay."""
-    keep = near_duplicates(docs, threshold).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    """The documents with their columns as they are, one of each group (the smallest doc_id); of rows with that doc_id all stay.
+
+    Rows whose id is not in a bitmap of the dropped ids stay where they are; only
+    the others are joined with these ids.
+    """
+    dropped, _ = stored(near_duplicates(docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("__drop")).distinct(), "dropped")
+    bits, data = _bitmap_of(dropped, "__drop", dropped.count())
+
+    @F.pandas_udf("boolean")
+    def listed(place: pd.Series) -> pd.Series:
+        return pd.Series(_listed(data, place.to_numpy()))
+
+    doc_id = F.col("doc_id").cast("long")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    marked = docs.select(whole, doc_id.alias("__id"), listed(F.pmod(F.xxhash64(doc_id), F.lit(bits))).alias("__maybe"))
+    rest = marked.where("__maybe").join(dropped, F.col("__id") == F.col("__drop"), "left_anti")
+    return marked.where("not __maybe").select("__row.*").unionByName(rest.select("__row.*"))

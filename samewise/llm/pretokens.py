@@ -24,6 +24,8 @@ LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 0, 4
 _PRIME = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _PAD = 4
+#: Characters that are worked on at once: their arrays stay near the cache.
+RUN_CHARS = 1 << 18
 
 #: Code points that Unicode 16 leaves unassigned and later versions make letters or numbers; the pattern follows Unicode 16.
 LATER_THAN_UNICODE_16 = (
@@ -66,7 +68,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64, at least ``size`` of them."""
-    return _powers(1 << max(21, (size - 1).bit_length()))
+    return _powers(1 << max(19, (size - 1).bit_length()))
 
 
 def range_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -121,7 +123,7 @@ def words_of(points: np.ndarray, seps: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class WordTable:
     """Ids of words by hash, for one worker; it starts anew when ``most`` words are held."""
 
-    def __init__(self, encode: IdEncoder, special: dict[str, int] | None = None, most: int = 1 << 20):
+    def __init__(self, encode: IdEncoder, special: dict[str, int] | None = None, most: int = 1 << 19):
         self.encode_words, self.special, self.most = encode, special or {}, most
         self._clear()
 
@@ -215,7 +217,7 @@ class WordTable:
         edges = np.append(0, ends_at)[np.searchsorted(begins, seps)]
         return np.split(ids, edges[:-1])
 
-    def encode(self, texts: list[str], most_chars: int = 1 << 20) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str], most_chars: int = RUN_CHARS) -> Iterator[np.ndarray]:
         """The ids (uint32) of each text, in order."""
         odd = [t for t in self.special if any(t in x for x in texts)]
         if odd:
