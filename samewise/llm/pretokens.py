@@ -123,7 +123,7 @@ def words_of(points: np.ndarray, seps: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class WordTable:
     """Ids of words by hash, for one worker; it starts anew when ``most`` words are held."""
 
-    def __init__(self, encode: IdEncoder, special: dict[str, int] | None = None, most: int = 1 << 19):
+    def __init__(self, encode: IdEncoder, special: dict[str, int] | None = None, most: int = 3 << 19):
         self.encode_words, self.special, self.most = encode, special or {}, most
         self._clear()
 
