@@ -4,7 +4,7 @@ A rolling hash over the last seven bytes ends a piece wherever it is minus one
 modulo the block size; each piece gives one character of the signature. A
 fingerprint is ``size:signature:signature at twice the size``. The size is the
 smallest of 3 * 2**k for which about 64 pieces are expected, halved while the
-signature has under 32 characters. Two fingerprints are compared where they have
+signature has under 32 characters, doubled while it has over 256. Two fingerprints are compared where they have
 a common block size, by edit distance.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from samewise.llm.common import prepared
 from samewise.llm.pretokens import powers
 
-WINDOW, LEAST_BLOCK, PIECES, COMMON = 7, 3, 64, 7
+WINDOW, LEAST_BLOCK, PIECES, MOST_PIECES, COMMON = 7, 3, 64, 256, 7
 _ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
 
@@ -66,12 +66,20 @@ def fingerprint(text: str) -> str:
         size *= 2
     hashes = rolling(data)
     wide = data.astype(np.uint64)
-    # an end at a size is an end at half the size too
-    while True:
-        ends = np.flatnonzero(hashes % np.uint32(size) == size - 1)
-        if size == LEAST_BLOCK or len(ends) + 1 >= PIECES // 2:
+
+    def ends_at(block: int) -> np.ndarray:
+        return np.flatnonzero(hashes % np.uint32(block) == block - 1)
+
+    # an end at a size is an end at half the size too; text that repeats itself may have none at one and thousands at the next
+    ends = ends_at(size)
+    while len(ends) > MOST_PIECES:
+        size *= 2
+        ends = ends_at(size)
+    while size > LEAST_BLOCK and len(ends) + 1 < PIECES // 2:
+        finer = ends_at(size // 2)
+        if len(finer) > MOST_PIECES:
             break
-        size //= 2
+        size, ends = size // 2, finer
     doubled = ends[hashes[ends] % np.uint32(2 * size) == 2 * size - 1]
     return f"{size}:{_signature(wide, ends).decode()}:{_signature(wide, doubled).decode()}"
 

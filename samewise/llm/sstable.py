@@ -25,7 +25,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -204,15 +204,15 @@ def _most_id(tokenizer_path: str, end_id: int | None) -> int:
     return max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True) - 1, end_id or 0)
 
 
-def read_token_shards(docs_spark, path: str, with_ids: bool = False) -> DataFrame:
+def read_token_shards(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per document of the shards below ``path``, read back from them.
 
     Returns doc_id, start (ids of all documents before it), n_tokens, ids_crc32
     and, if asked for, the ids. Where a shard starts is a running sum over the
     shards' footers, one row per shard.
     """
-    prepared(docs_spark)
-    files = docs_spark.read.format("binaryFile").load(path).where(F.col("length") > FOOTER_SIZE)
+    prepared(spark)
+    files = spark.read.format("binaryFile").load(path).where(F.col("length") > FOOTER_SIZE)
 
     def field(offset: int, size: int):
         return F.expr(f"substring(content, cast(length - {FOOTER_SIZE} + {offset} as int), {size})")

@@ -240,6 +240,12 @@ def test_boundaries_depend_on_seven_bytes():
     assert np.flatnonzero(hashes[6:] % 12 == 11).tolist() == [i - 6 for i in slow_boundaries(data, 12) if i >= 6]
 
 
+def test_signatures_of_repeating_texts_stay_short():
+    for unit in ("ab", "abc def ", "x", "0123456789" * 3, "word and word "):
+        parts = fingerprints.fingerprint(unit * 20_000).split(":")
+        assert len(parts[1]) <= fingerprints.MOST_PIECES + 1 and len(parts[2]) <= len(parts[1])
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     assert fingerprints.fingerprinted(odd).count() == len(ODD) and fingerprints.fingerprinted(empty).count() == 0
     assert fingerprints.fingerprinted(odd.where("doc_id = 8")).first()["near_next"] == 1
