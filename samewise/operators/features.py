@@ -88,6 +88,8 @@ def feature_columns(fuzzy: bool = True) -> dict[str, Column]:
 def pair_features(pairs: DataFrame, records: DataFrame, fuzzy: bool = True) -> DataFrame:
     """s1, cid and their features as 32-bit floats (without ``fuzzy``, the 35 that need no UDF, as doubles)."""
     rows = with_records(pairs.select("s1", "cid"), records)
+    if fuzzy:  # the comparisons cost far more than their bytes, by which adaptive execution sizes tasks: deal them evenly
+        rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1", "cid")
     columns = feature_columns(fuzzy)
     return rows.select("s1", "cid", *[c.cast("float").alias(n) if fuzzy else c for n, c in columns.items()])
 
