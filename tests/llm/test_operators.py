@@ -346,6 +346,16 @@ def test_image_copies(spark):
     assert images.copies(spark.createDataFrame([], "image_id long, image binary")).count() == 0
 
 
+def test_crops_keep_the_corners_inside_them():
+    rng = np.random.default_rng(12)
+    for _ in range(5):
+        whole = images.parse_pgm(images.render(rng.normal(0, 0.125, 64).tolist(), 0, 0, 192))
+        corners = images.describe(whole)
+        assert 3 * len(images.describe(whole[:96, :96])[0]) < len(corners[0])
+        for crop in (whole[:, 96:], whole[96:, 96:], whole[40:136, 30:126]):
+            assert images.inliers(corners, images.describe(crop)) >= images.LEAST_INLIERS
+
+
 def test_a_common_key_is_not_paired_with_all(spark, monkeypatch):
     monkeypatch.setattr(images, "SMALL", 3)
     rng = np.random.default_rng(6)
