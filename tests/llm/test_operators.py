@@ -356,6 +356,34 @@ def test_crops_keep_the_corners_inside_them():
             assert images.inliers(corners, images.describe(crop)) >= images.LEAST_INLIERS
 
 
+def changed_copies(whole):
+    """Copies made smaller, blurred and turned by angles that are no quarters."""
+    y, x = np.mgrid[:100, :100] - 49.5
+    middle = (np.array(whole.shape) - 1) / 2
+    out = [images._smaller(whole, 1 / 0.9), images._smaller(images._box(whole, 1), 1.25), images._box(whole, 1)]
+    for angle in (np.pi / 9, np.pi / 4):
+        v, u = middle[0] + y * np.cos(angle) - x * np.sin(angle), middle[1] + y * np.sin(angle) + x * np.cos(angle)
+        v0, u0 = np.floor(v).astype(int), np.floor(u).astype(int)
+        fv, fu = v - v0, u - u0
+        out.append((whole[v0, u0] * (1 - fu) + whole[v0, u0 + 1] * fu) * (1 - fv) + (whole[v0 + 1, u0] * (1 - fu) + whole[v0 + 1, u0 + 1] * fu) * fv)
+    return [np.rint(c).astype(np.float32) for c in out]
+
+
+def test_changed_copies_share_keys():
+    """Against brute force: of the pairs whose corners agree, those that meet on a key."""
+    rng, agree, meet = np.random.default_rng(13), 0, 0
+    for _ in range(6):
+        whole = images.parse_pgm(images.render(rng.normal(0, 0.125, 64).tolist(), 0, 0, 160))
+        corners = images.describe(whole)
+        own = images.keys_of(images.marks(whole, corners[0]))
+        for copy in changed_copies(whole):
+            other = images.describe(copy)
+            if images.inliers(corners, other) >= images.LEAST_INLIERS:
+                agree += 1
+                meet += bool(len(np.intersect1d(own, images.keys_of(images.marks(copy, other[0])))))
+    assert agree >= 28 and meet == agree
+
+
 def test_a_common_key_is_not_paired_with_all(spark, monkeypatch):
     monkeypatch.setattr(images, "SMALL", 3)
     rng = np.random.default_rng(6)
