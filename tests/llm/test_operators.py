@@ -393,6 +393,21 @@ def test_a_common_key_is_not_paired_with_all(spark, monkeypatch):
     assert {r["class_id"] for r in got} == {0} and sum(r["n_links"] for r in got) < 400
 
 
+def flat_keys(monkeypatch, groups):
+    """Only as many common keys as given: image i has the keys groups(i)."""
+    monkeypatch.setattr(images, "keyed", lambda features: features.select("node", F.explode(F.udf(groups, "array<bigint>")("node")).alias("key")).select("key", "node"))
+
+
+def test_copies_on_a_common_key_meet(spark, monkeypatch):
+    """Unrelated images share two keys with more than SMALL of them; the only copies among them have no other."""
+    rng = np.random.default_rng(14)
+    vectors = rng.normal(0, 0.125, (40, 64)).tolist()
+    rows = [(i, images.render(v, 0, 0)) for i, v in enumerate(vectors)] + [(100 + i, images.render(vectors[i], 2, i)) for i in range(10, 40, 3)]
+    flat_keys(monkeypatch, lambda node: [1, 2])
+    got = {r["image_id"]: r["class_id"] for r in images.copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    assert got == {i: i % 100 for i, _ in rows}
+
+
 # --- secrets
 
 BASE = (
