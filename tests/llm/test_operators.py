@@ -408,6 +408,19 @@ def test_copies_on_a_common_key_meet(spark, monkeypatch):
     assert got == {i: i % 100 for i, _ in rows}
 
 
+def test_one_key_and_any_member_suffice(spark, monkeypatch):
+    """A smaller id on the only key, and a component whose smallest member shows another part of the picture."""
+    rng = np.random.default_rng(15)
+    one, two, three = rng.normal(0, 0.125, (3, 64)).tolist()
+    whole = images.parse_pgm(images.render(three, 0, 0, 192))
+    rows = [(0, images.render(one, 0, 0)), (1, images.render(two, 0, 0)), (2, images.render(two, 2, 0))]
+    rows += [(3, images.to_pgm(whole[:, :96])), (4, images.to_pgm(whole)), (5, images.to_pgm(whole[:, 96:]))]
+    keys = {0: [7], 1: [7], 2: [7], 3: [9, 10], 4: [9, 10], 5: [9]}
+    flat_keys(monkeypatch, lambda node: keys[node])
+    got = {r["image_id"]: r["class_id"] for r in images.copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 3, 4: 3, 5: 3}
+
+
 # --- secrets
 
 BASE = (
