@@ -4,8 +4,10 @@ A rolling hash over the last seven bytes ends a piece wherever it is minus one
 modulo the block size; each piece gives one character of the signature. A
 fingerprint is ``size:signature:signature at twice the size``. The size is the
 smallest of 3 * 2**k for which about 64 pieces are expected, halved while the
-signature has under 32 characters, doubled while it has over 256. Two fingerprints are compared where they have
-a common block size, by edit distance.
+signature has under 32 characters, doubled while it has over 256. Where a text
+repeats itself, all ends of a stretch may be lost at once when the size doubles; of
+such a stretch every second end stays, so that its share of the signature stays.
+Two fingerprints are compared where they have a common block size, by edit distance.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from samewise.llm.common import prepared
 from samewise.llm.pretokens import powers
 
 WINDOW, LEAST_BLOCK, PIECES, MOST_PIECES, COMMON = 7, 3, 64, 256, 7
+#: Ends in a row that are all lost at twice the size, and bytes in a row without an end at the least size, only where a text repeats itself.
+LOST_ENDS, LOST_BYTES = 32, 64
 _ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
 
@@ -44,6 +48,17 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _coarser(ends: np.ndarray, stay: np.ndarray, step: int, lost: int) -> np.ndarray:
+    """The ends that stay; between them, of ``lost`` or more others in a row every ``step``-th, counted from where the row begins."""
+    places = np.flatnonzero(stay)
+    before, after = np.append(-1, places), np.append(places, len(ends))
+    if (after - before).max() <= lost:
+        return ends[places]
+    rows = np.flatnonzero(after - before > lost)
+    others = [np.arange(before[r] + step, after[r], step) for r in rows.tolist()]
+    return ends[np.sort(np.concatenate([places, *others]))]
+
+
 def _signature(data: np.ndarray, ends: np.ndarray) -> bytes:
     """A character for each piece; what follows the last end is a piece too."""
     starts = np.append(0, ends + 1)
@@ -67,20 +82,19 @@ def fingerprint(text: str) -> str:
     hashes = rolling(data)
     wide = data.astype(np.uint64)
 
+    levels = [_coarser(np.arange(len(data)), hashes % np.uint32(LEAST_BLOCK) == LEAST_BLOCK - 1, LEAST_BLOCK, LOST_BYTES)]
+
     def ends_at(block: int) -> np.ndarray:
-        return np.flatnonzero(hashes % np.uint32(block) == block - 1)
+        while len(levels) <= (block // LEAST_BLOCK).bit_length() - 1:
+            finer, twice = levels[-1], LEAST_BLOCK << len(levels)
+            levels.append(_coarser(finer, hashes[finer] % np.uint32(twice) == twice - 1, 2, LOST_ENDS))
+        return levels[(block // LEAST_BLOCK).bit_length() - 1]
 
-    # an end at a size is an end at half the size too; text that repeats itself may have none at one and thousands at the next
-    ends = ends_at(size)
-    while len(ends) > MOST_PIECES:
+    while len(ends_at(size)) > MOST_PIECES:
         size *= 2
-        ends = ends_at(size)
-    while size > LEAST_BLOCK and len(ends) + 1 < PIECES // 2:
-        finer = ends_at(size // 2)
-        if len(finer) > MOST_PIECES:
-            break
-        size, ends = size // 2, finer
-    doubled = ends[hashes[ends] % np.uint32(2 * size) == 2 * size - 1]
+    while size > LEAST_BLOCK and len(ends_at(size)) + 1 < PIECES // 2:
+        size //= 2
+    ends, doubled = ends_at(size), ends_at(2 * size)
     return f"{size}:{_signature(wide, ends).decode()}:{_signature(wide, doubled).decode()}"
 
 

@@ -246,6 +246,23 @@ def test_signatures_of_repeating_texts_stay_short():
         assert len(parts[1]) <= fingerprints.MOST_PIECES + 1 and len(parts[2]) <= len(parts[1])
 
 
+def test_edited_texts_that_repeat_stay_alike(spark):
+    rng = random.Random(3)
+    line = " ".join(words(rng, 12)) + "\n"
+    units = ("x", "ab", "word ", "abc def ", "0123456789" * 3, line, " ".join(words(rng, 120)) + "\n")
+    following = " ".join(words(rng, 30_000))
+    rows = []
+    for n, unit in enumerate(units):
+        text = unit * (60_000 // len(unit))
+        at = len(text) // 3
+        for k, changed in enumerate((fingerprints.edited(text, following), text[:at] + "~" + text[at + 1 :], following[:20_000])):
+            rows.append((n, k, fingerprints.fingerprint(text), fingerprints.fingerprint(changed)))
+    frame = spark.createDataFrame(rows, "n int, k int, a string, b string")
+    for r in frame.select("n", "k", fingerprints.likeness(F.col("a"), F.col("b")).alias("near")).collect():
+        low, high = ((0.6, 0.9), (0.9, 1), (0, 0.2))[r["k"]]
+        assert low <= r["near"] <= high, r
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     assert fingerprints.fingerprinted(odd).count() == len(ODD) and fingerprints.fingerprinted(empty).count() == 0
     assert fingerprints.fingerprinted(odd.where("doc_id = 8")).first()["near_next"] == 1
