@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samewise.llm.common import prepared
-from samewise.llm.pretokens import WordTable
+from samewise.llm.pretokens import WordTable, cuts_words
 
 NO_RANK = np.int64(1 << 40)
 
@@ -32,11 +32,13 @@ def byte_alphabet() -> list[str]:
 
 
 class Vocabulary:
-    """Merge rules and token bytes of a byte-level BPE file."""
+    """Merge rules and token bytes of a byte-level BPE file; other files are refused."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        if not cuts_words(spec):
+            raise ValueError(f"{path} is no plain byte-level BPE file")
         vocab: dict[str, int] = spec["model"]["vocab"]
         alphabet = byte_alphabet()
         back = {c: b for b, c in enumerate(alphabet)}

@@ -36,14 +36,13 @@ from pyspark.sql import functions as F
 
 from samewise.llm.common import prepared, remove, runs_of, stored
 from samewise.llm.components import connected_components
-from samewise.llm.pretokens import RUN_CHARS, code_points, powers
+from samewise.llm.pretokens import RUN_CHARS, code_points, mixed, range_hashes
 
 HASHES, BATCH, MISS = 128, 32, 1e-6
 #: Most classes of a bucket, and of a home, in one side of a block.
 BLOCK, HOME = 512, 1000
 BLOCK_KEY = ("h1", "p1", "h2", "p2")
 _Q = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
-_MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
 @dataclass(frozen=True)
@@ -80,14 +79,13 @@ class Threshold:
         return out
 
 
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = values ^ (values >> np.uint64(32))
-    values *= _MIX
-    return values ^ (values >> np.uint64(29))
-
-
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
-    """The sorted 64-bit hashes of each text's distinct shingles; a text with fewer words is one shingle, one with none has none."""
+    """The sorted 64-bit hashes of each text's distinct shingles; a text with fewer words is one shingle, one with none has none.
+
+    Words are hashed place by place (:func:`range_hashes`), so that no structured
+    words collide; of two sets of a thousand shingles, two different ones have one hash
+    with a probability of about 5e-14.
+    """
     _, points, seps = code_points(texts)
     points = points.copy()
     points[(points >= 65) & (points <= 90)] += 32
@@ -98,22 +96,20 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     begins = edges[::2]
     if not len(begins):
         return [np.zeros(0, np.uint64) for _ in texts]
-    power, inverse = powers(len(points))
-    sums = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * power[: len(points)], edges)[::2]
-    hashes = _mixed(sums * inverse[begins] + (edges[1::2] - begins).astype(np.uint64))
+    hashes = range_hashes(points, edges)[::2]
     first = np.searchsorted(begins, np.append(0, seps[:-1]))
     last = np.searchsorted(begins, seps)
     if len(hashes) >= words:
         rolled = hashes[: len(hashes) - words + 1].copy()
         for i in range(1, words):
             rolled += hashes[i : len(hashes) - words + 1 + i] * _Q[i]
-        rolled = _mixed(rolled)
+        rolled = mixed(rolled)
     out = []
     for a, b in zip(first.tolist(), last.tolist(), strict=True):
         if b - a >= words:
             out.append(np.unique(rolled[a : b - words + 1]))
         elif b > a:
-            out.append(_mixed(np.array([(hashes[a:b] * np.array(_Q[: b - a])).sum() + np.uint64(b - a)], np.uint64)))
+            out.append(mixed(np.array([(hashes[a:b] * np.array(_Q[: b - a])).sum() + np.uint64(b - a)], np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

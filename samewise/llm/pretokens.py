@@ -3,14 +3,16 @@
 A text is cut into words as the byte-level pattern of the public 50k vocabulary
 does (contractions, then letters, digits or other characters with one space
 before them, then white space). The cut is done for a run of texts in one array
-of code points; a word is known by a 64-bit hash of its code points; an
-open-addressing numpy table gives the ids of words already seen by this worker.
-Only new words go to the encoder of words, which is the tokenizers library or
-:mod:`samewise.llm.bpe`.
+of code points; an open-addressing numpy table finds the words already seen by
+this worker by a 64-bit hash and compares their code points, so two words with
+one hash never share ids. Only new words go to the encoder of words, which is
+the tokenizers library or :mod:`samewise.llm.bpe`. A tokenizer file with another
+normalizer, another cut or another model gets whole texts through the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -22,7 +24,6 @@ from samewise.llm.common import runs_of
 
 LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 0, 4
 _PRIME = 0x9E3779B97F4A7C15
-_MIX = np.uint64(0xFF51AFD7ED558CCD)
 _PAD = 4
 #: Characters that are worked on at once: their arrays stay near the cache.
 RUN_CHARS = 1 << 18
@@ -71,15 +72,28 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(19, (size - 1).bit_length()))
 
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Each 64-bit number's image under a fixed bijection that looks random; works in place."""
+    values ^= values >> np.uint64(30)
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= values >> np.uint64(31)
+    return values
+
+
 def range_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the numbers from each start up to the next."""
-    power, inverse = powers(len(points))
-    values = (points.astype(np.uint64) + np.uint64(1)) * power[: len(points)]
-    hashes = np.add.reduceat(values, starts) * inverse[starts]
-    hashes ^= hashes >> np.uint64(32)
-    hashes *= _MIX
-    hashes ^= hashes >> np.uint64(29)
-    return hashes
+    """A 64-bit hash of the code points from each start up to the next.
+
+    It is the mixed sum of a mixed number for each (place, code point), so that,
+    unlike a polynomial's, it has no short structured texts that collide.
+    """
+    lengths = np.diff(np.append(starts, len(points)))
+    values = np.arange(len(points), dtype=np.uint64)
+    values -= np.repeat(starts.astype(np.uint64), lengths)
+    values <<= np.uint64(21)
+    values |= points
+    return mixed(np.add.reduceat(mixed(values), starts) + lengths.astype(np.uint64))
 
 
 def code_points(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
@@ -121,10 +135,10 @@ def words_of(points: np.ndarray, seps: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class WordTable:
-    """Ids of words by hash, for one worker; it starts anew when ``most`` words are held."""
+    """Ids of words, for one worker; it starts anew when ``most`` words, or ``most_chars`` characters of words, are held."""
 
-    def __init__(self, encode: IdEncoder, special: dict[str, int] | None = None, most: int = 3 << 19):
-        self.encode_words, self.special, self.most = encode, special or {}, most
+    def __init__(self, encode: IdEncoder, special: dict[str, int] | None = None, most: int = 1 << 20, most_chars: int = 1 << 23):
+        self.encode_words, self.special, self.most, self.most_chars = encode, special or {}, most, most_chars
         self._clear()
 
     def _clear(self) -> None:
@@ -132,10 +146,10 @@ class WordTable:
         self.keys = np.zeros(self.slots, np.uint64)
         self.at = np.zeros(self.slots, np.int32)
         self.words = 0
-        self.begin = np.zeros(1 << 15, np.int64)
-        self.count = np.zeros(1 << 15, np.int32)
-        self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.begin, self.count = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
+        self.char_begin, self.char_count = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        self.chars, self.chars_used = np.zeros(1 << 18, np.uint32), 0
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word, or -1."""
@@ -167,20 +181,18 @@ class WordTable:
             slot[left] = (slot[left] + 1) & mask
 
     def _add(self, hashes: np.ndarray, words: list[str]) -> None:
-        lists = self.encode_words(words)
-        counts = np.fromiter(map(len, lists), np.int32, len(lists))
-        total, first = int(counts.sum()), self.words
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while first + len(lists) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-        if total:
-            self.flat[self.used : self.used + total] = np.concatenate([np.asarray(x, np.uint32) for x in lists if len(x)])
-        ends = self.used + np.cumsum(counts)
-        self.begin[first : first + len(lists)] = ends - counts
-        self.count[first : first + len(lists)] = counts
-        self.used, self.words = self.used + total, first + len(lists)
+        lists, first = self.encode_words(words), self.words
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.flat, self.used = _appended(self.flat, self.used, [np.asarray(x, np.uint32) for x in lists if len(x)])
+        self.chars, self.chars_used = _appended(self.chars, self.chars_used, [points])
+        self.words = first + len(lists)
+        for sizes, begins, counts, used in ((map(len, lists), "begin", "count", self.used), (map(len, words), "char_begin", "char_count", self.chars_used)):
+            while self.words > len(getattr(self, begins)):
+                for name in (begins, counts):
+                    setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(getattr(self, name))]))
+            each = np.fromiter(sizes, np.int32, len(lists))
+            getattr(self, begins)[first : self.words] = used - int(each.sum()) + np.cumsum(each) - each
+            getattr(self, counts)[first : self.words] = each
         numbers = np.arange(first, self.words, dtype=np.int32)
         if self.words * 2 > self.slots:
             old = self.keys != 0
@@ -191,29 +203,49 @@ class WordTable:
             self._put(held, at)
         self._put(hashes, numbers)
 
+    def _differ(self, points: np.ndarray, begins: np.ndarray, lengths: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Places of the words whose code points are not those of the held word with their number."""
+        wrong = lengths != self.char_count[number]
+        ends = np.cumsum(lengths)
+        place = np.arange(int(ends[-1]) if len(ends) else 0)
+        own = place + np.repeat(begins - (ends - lengths), lengths)
+        held = place + np.repeat(self.char_begin[number] - (ends - lengths), lengths)
+        other = np.flatnonzero(points[own] != self.chars[np.minimum(held, self.chars_used - 1)])
+        wrong[np.searchsorted(ends, other, side="right")] = True
+        return np.flatnonzero(wrong)
+
     def _run(self, texts: list[str]) -> list[np.ndarray]:
         joined, points, seps = code_points(texts)
         starts, classes = words_of(points, seps)
         hashes = range_hashes(points[: seps[-1] + 1], starts)
         real = classes[starts] != END
         lengths = np.diff(np.append(starts, seps[-1] + 1))
-        hashes = hashes[real] + lengths[real].astype(np.uint64)
+        hashes = hashes[real]
         hashes[hashes == 0] = 1
-        begins, ends = starts[real], (starts + lengths)[real]
-        if self.words > self.most:
+        begins, lengths = starts[real], lengths[real]
+        if self.words > self.most or self.chars_used > self.most_chars:
             self._clear()
         number = self._find(hashes)
         missing = np.flatnonzero(number < 0)
+
+        def text(rows: np.ndarray) -> list[str]:
+            return [joined[a : a + n] for a, n in zip(begins[rows].tolist(), lengths[rows].tolist(), strict=True)]
+
         if len(missing):
             new, first, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            rows, before = missing[first], self.words
-            self._add(new, [joined[a:b] for a, b in zip(begins[rows].tolist(), ends[rows].tolist(), strict=True)])
+            before = self.words
+            self._add(new, text(missing[first]))
             number[missing] = before + back
-        counts = self.count[number].astype(np.int64)
+        flat, begin, counts = self.flat, self.begin[number], self.count[number].astype(np.int64)
+        odd = self._differ(points, begins, lengths, number) if len(number) else number
+        if len(odd):  # another word holds the hash: these are encoded on their own each time
+            lists = [np.asarray(x, np.uint32) for x in self.encode_words(text(odd))]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            begin[odd], counts[odd] = len(flat) + np.cumsum(sizes) - sizes, sizes
+            flat = np.concatenate([flat, *lists])
         ends_at = np.cumsum(counts)
         total = int(ends_at[-1]) if len(ends_at) else 0
-        source = np.arange(total) + np.repeat(self.begin[number] - (ends_at - counts), counts)
-        ids = self.flat[source]
+        ids = flat[np.arange(total) + np.repeat(begin - (ends_at - counts), counts)]
         edges = np.append(0, ends_at)[np.searchsorted(begins, seps)]
         return np.split(ids, edges[:-1])
 
@@ -231,14 +263,47 @@ class WordTable:
             yield from self._run(texts[a:b])
 
 
+def _appended(held: np.ndarray, used: int, parts: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """The array, grown by doubling, with the parts behind its ``used`` numbers, and how many are used now."""
+    total = sum(map(len, parts))
+    while used + total > len(held):
+        held = np.concatenate([held, np.zeros_like(held)])
+    if total:
+        held[used : used + total] = np.concatenate(parts)
+    return held, used + total
+
+
+class WholeTexts:
+    """Ids of whole texts from the tokenizers library, for files that :func:`cuts_words` does not know."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def encode(self, texts: list[str], most_chars: int = RUN_CHARS) -> Iterator[np.ndarray]:
+        for a, b in runs_of(texts, most_chars):
+            yield from (np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts[a:b], add_special_tokens=False))
+
+
+def cuts_words(spec: dict) -> bool:
+    """Whether a tokenizer file cuts and encodes words as this module does: byte-level BPE by its usual pattern, nothing normalized."""
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = not any(t.get(flag) for t in spec.get("added_tokens", []) for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+    plain &= not any(model.get(flag) for flag in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    usual = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    return bool(plain and usual and spec.get("normalizer") is None and model.get("type", "BPE") == "BPE")
+
+
 @lru_cache(2)
-def library_table(path: str) -> WordTable:
-    """Words encoded by the tokenizers library; kept by each worker between tasks."""
+def library_table(path: str) -> WordTable | WholeTexts:
+    """Texts encoded by the tokenizers library, word by word where the file allows; kept by each worker between tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    with open(path, encoding="utf-8") as file:
+        if not cuts_words(json.load(file)):
+            return WholeTexts(tokenizer)
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
     return WordTable(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)], special)

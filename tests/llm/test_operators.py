@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from samewise.llm import bpe, components, fingerprints, images, langid, linededup, neardup, packing, queries, secrets, sstable, urlfilter
+from samewise.llm import bpe, components, fingerprints, images, langid, linededup, neardup, packing, pretokens, queries, secrets, sstable, urlfilter
 from samewise.llm.pretokens import library_table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_dropped string"
@@ -340,6 +340,14 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert neardup.one_of_each(odd).count() == len(ODD) and neardup.one_of_each(odd).columns == odd.columns
 
 
+def test_structured_words_make_their_own_shingles(spark):
+    rng = random.Random(7)
+    rest = " ".join(words(rng, 12))
+    rows = [(i, f"{w} {w} {w} {w} {rest} {w} {w} {w}") for i, w in enumerate(STRUCTURED)] + [(50 + i, w) for i, w in enumerate(STRUCTURED)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == groups_by_hand(rows, 80) and all(kept for _, _, kept in got.values())
+
+
 def test_an_id_with_two_texts_joins_both(spark):
     one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     frame = spark.createDataFrame([(1, one), (9, one), (9, two), (4, two)], "doc_id long, text string")
@@ -495,6 +503,39 @@ def test_codec_matches_the_library(spark, tokenizer):
     assert vocabulary.decode([128, 200]) == tokenizer.decode([128, 200], skip_special_tokens=False)
 
 
+def thue_morse(size):
+    """Words that collide under any polynomial hash modulo a power of two."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(size))
+    return [one, one.translate(str.maketrans("ab", "ba"))]
+
+
+STRUCTURED = [w for n in (1024, 2048, 4096, 8192) for w in thue_morse(n)]
+
+
+def test_structured_words_keep_their_own_ids(tokenizer):
+    expected = [e.ids for e in tokenizer.encode_batch(STRUCTURED, add_special_tokens=False)]
+    for table in (bpe.numpy_table(queries.bpe_path())[1], library_table(queries.bpe_path())):
+        assert [x.tolist() for x in table.encode(STRUCTURED)] == expected
+
+
+def test_words_with_one_hash_keep_their_own_ids(tokenizer, monkeypatch):
+    real = pretokens.range_hashes
+    monkeypatch.setattr(pretokens, "range_hashes", lambda points, starts: real(points, starts) & np.uint64(7))
+    table = pretokens.WordTable(library_table(queries.bpe_path()).encode_words)
+    texts = ["some words that collide, over and over", "", "other words é 12 that", "x"] * 3
+    assert [x.tolist() for x in table.encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_tokenizer_files_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, texts = public_tokenizers.path("word_bpe_49k.json"), ["A short   English sentence.", "", "né 12 ab's"]
+    assert [x.tolist() for x in library_table(path).encode(texts)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    with pytest.raises(ValueError):
+        bpe.Vocabulary(path)
+
+
 def test_codec_of_odd_rows(odd, empty, tokenizer):
     out = bpe.encode_decode(odd, queries.bpe_path(), with_outputs=True).collect()
     assert sorted(r["decoded"] for r in out) == sorted(r[1] or "" for r in ODD)
