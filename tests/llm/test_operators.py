@@ -114,6 +114,29 @@ def test_line_dedup_is_native(corpus):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_line_hashes_are_streamed_in_order(spark):
+    """One range exchange and its secondary sort; the windows need no other exchange."""
+    rows = [(i % 7, i, i % 50, 5, 9, i) for i in range(500)]
+    keyed = spark.createDataFrame(rows, "h1 long, h2 long, doc_id long, text_hash long, n_lines int, pos int")
+    plan = linededup.marked_lines(keyed, 5)[0]._jdf.queryExecution().executedPlan().toString()
+    assert re.findall("Exchange (\\w+)", plan) == ["rangepartitioning"] and "Window" in plan
+    assert re.search(r"Sort \[h1#\d+L ASC NULLS FIRST, h2#\d+L ASC NULLS FIRST, slot#\d+ ASC NULLS FIRST, doc_id#\d+L DESC NULLS LAST, pos#\d+ ASC", plan)
+
+
+def test_hot_lines_are_dealt_into_slots(spark, monkeypatch):
+    rng = random.Random(12)
+    hot, warm = "A line that a third of all documents holds, and more", "another line of forty characters, a rarer one that is"
+    rows = [(i, "\n".join(rng.sample([hot, warm.upper() if i % 9 == 0 else f"own {i}", hot + " ", f"a long line of its own {i} " * 2], 4))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for share in (4, 5_000):
+        monkeypatch.setattr(linededup, "HOT", share)
+        got = {r["doc_id"]: tuple(r)[1:] for r in linededup.deduplicated(frame).collect()}
+        assert got == lines_by_hand(rows)
+    monkeypatch.setattr(linededup, "HOT", 4)
+    keyed = spark.createDataFrame([(1, i) for i in range(90)] + [(100 + i, i) for i in range(90)], "h1 long, doc_id long")
+    assert linededup._hot_hashes(keyed, 4) == [1]
+
+
 def test_keep_bitmaps_are_runs(spark):
     same = "a line of more than forty characters that repeats"
     rows = [(i, f"own {i}\n{same}\nlast {i}") for i in range(6)]
