@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import prepared
+from samewise.llm.common import mapped
 from samewise.llm.pretokens import WordTable, cuts_words
 
 NO_RANK = np.int64(1 << 40)
@@ -117,7 +117,6 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, with_outputs: bool = Fa
     joined by commas), decoded_sha256 (of the decoded text) and, if asked for,
     ids and decoded themselves. An empty table gives no rows.
     """
-    prepared(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_outputs
 
     def work(batches):
@@ -139,4 +138,4 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, with_outputs: bool = Fa
                 columns += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[x.split(" ")[0] for x in schema.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(work, schema)
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")), work, schema)

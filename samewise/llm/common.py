@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,13 +62,34 @@ def lower_ascii(column: Column) -> Column:
     return F.when(F.octet_length(column) == F.length(column), F.lower(column)).otherwise(F.translate(column, ASCII_UPPER, ASCII_LOWER))
 
 
-def prepared(spark: SparkSession, rows: int = 1000) -> None:
-    """Ship this package, and let no more than ``rows`` rows pass to a Python worker at once: whole texts may be long."""
+def prepared(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
+    """Ship this package, and let no more than ``rows`` rows or about ``size`` bytes pass to a Python worker at once: whole texts may be long."""
     ship(spark)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    held = int(spark.conf.get(name))
-    if not 0 < held <= rows:
-        spark.conf.set(name, rows)
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        held = spark.conf.get(name).removesuffix("b")
+        if not (held.isdigit() and 0 < int(held) <= most):
+            spark.conf.set(name, most)
+
+
+def give_back() -> None:
+    """Return what this process has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def mapped(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``frame`` through an Arrow function; workers outlive their tasks, so each gives its memory back at the end of one."""
+    prepared(frame.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return frame.mapInArrow(run, schema)
 
 
 def runs_of(texts: list[str], most_chars: int) -> Iterator[tuple[int, int]]:

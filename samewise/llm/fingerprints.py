@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samewise.llm.common import prepared
+from samewise.llm.common import mapped, prepared
 from samewise.llm.pretokens import powers
 
 WINDOW, LEAST_BLOCK, PIECES, MOST_PIECES, COMMON = 7, 3, 64, 256, 7
@@ -178,6 +178,6 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split(" ")[0] for x in schema.split(", ")])
 
     dealt = _dealt(docs).repartition("bucket").sortWithinPartitions("bucket", "extra", "doc_id", "tie")
-    found = dealt.select("doc_id", "text", "bucket", "extra").mapInArrow(work, schema)
+    found = mapped(dealt.select("doc_id", "text", "bucket", "extra"), work, schema)
     own, changed, following = F.col("fingerprint"), F.col("edited_fingerprint"), F.col("next_fingerprint")
     return found.select("doc_id", "n_chars", "edited_sha256", own, changed, likeness(own, changed).alias("near_edited"), likeness(own, following).alias("near_next"))

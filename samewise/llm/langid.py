@@ -18,12 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import prepared
+from samewise.llm.common import mapped
 
 
 UNKNOWN = "und"
@@ -100,7 +101,7 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     return Model(languages, tuple(clean), settings)
 
 
-def predict(docs: DataFrame, model: Model, carry: list[Column] | None = None) -> DataFrame:
+def predict(docs: DataFrame, model: Model, carry: list[Column] | None = None, accept: str | None = None) -> DataFrame:
     """The language of each whole text.
 
     Returns the columns in ``carry`` (doc_id if none are named) and lang_pred,
@@ -108,11 +109,13 @@ def predict(docs: DataFrame, model: Model, carry: list[Column] | None = None) ->
     and rejected. A text that is null or has no letter, and any text if nothing
     was learned, is ``und``, with score 0, and rejected. Equal sums go to the
     language that sorts first. Rows stay as they are, whatever their doc_id.
+    With ``accept``, rejected rows go, and the text is returned by that name.
     """
-    prepared(docs.sparkSession)
     carry = carry or [F.col("doc_id")]
     out = docs.select(*carry, F.col("text").alias("__text"))
     schema = out.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    if accept:
+        schema = schema.add(accept, "string")
 
     def work(batches):
         compressors = [_compressor(d, model.settings.level) for d in model.dictionaries]
@@ -131,9 +134,13 @@ def predict(docs: DataFrame, model: Model, carry: list[Column] | None = None) ->
                 scores.append(float(1 / np.exp2(-np.minimum(sums - sums[best], 60.0)).sum()))
                 rejected.append(bool(len(others) and others.min() - sums[best] < model.settings.min_margin * others.min()))
             columns = batch.columns[:-1] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            if accept:
+                found = pa.RecordBatch.from_arrays([*columns, batch.columns[-1]], names=schema.names)
+                yield found.filter(pc.invert(columns[-1]))
+            else:
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return out.mapInArrow(work, schema)
+    return mapped(out, work, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -151,5 +158,6 @@ def held_out_languages(docs: DataFrame, settings: Settings = Settings()) -> Data
 def accepted(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents whose language is found with a clear margin, with all their columns as they are."""
     model = fit(docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()), settings)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    return predict(docs, model, [whole]).where(~F.col("rejected")).select("__row.*")
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row")
+    found = predict(docs, model, [rest], "__accepted")
+    return found.select(*[F.col("__accepted").alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import prepared, remove, runs_of, stored
+from samewise.llm.common import mapped, prepared, remove, runs_of, stored
 from samewise.llm.components import connected_components
 from samewise.llm.pretokens import RUN_CHARS, code_points, mixed, range_hashes
 
@@ -165,7 +165,7 @@ def _signed(docs: DataFrame, threshold: Threshold) -> DataFrame:
                     names=["doc_id", "n_shingles", "digest", "signature"],
                 )
 
-    return docs.mapInArrow(work, "doc_id long, n_shingles long, digest binary, signature binary")
+    return mapped(docs, work, "doc_id long, n_shingles long, digest binary, signature binary")
 
 
 def _survivors(bands: int, rows: int, least: dict[int, int]):
@@ -323,7 +323,7 @@ def _rows_of(rows: DataFrame, wanted: DataFrame, expected: int, schema: str, mak
     def work(batches):
         return make(pick(batches)) if make else pick(batches)
 
-    return rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(bits))).mapInArrow(work, schema)
+    return mapped(rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(bits))), work, schema)
 
 
 def _verified(keyed: DataFrame, need: DataFrame, expected: int, docs: DataFrame, threshold: Threshold) -> DataFrame:
@@ -409,7 +409,7 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     rows_left = rows_left.select("band", "key", "i", "j", "node", "component", "signature", "side", "home", "part")
     rows_left = rows_left.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
     schema = "h1 long, p1 long, h2 long, p2 long, a binary, b binary, ca binary, cb binary, nodes array<long>"
-    rest, rest_at = stored(rows_left.mapInArrow(_survivors(threshold.bands, threshold.rows, least), schema), "pairs")
+    rest, rest_at = stored(mapped(rows_left, _survivors(threshold.bands, threshold.rows, least), schema), "pairs")
     within = homes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     within = within.select(F.col("home").alias("h1"), F.least("part", "other").alias("p1"), F.col("home").alias("h2"), F.greatest("part", "other").alias("p2"), "node")
     within = within.join(rest.select(*BLOCK_KEY).distinct(), list(BLOCK_KEY), "left_semi")

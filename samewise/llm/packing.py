@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import prepared
+from samewise.llm.common import mapped
 from samewise.llm.pretokens import library_table
 
 
@@ -117,7 +117,6 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int
     spans two groups; its id is made of task, group and window. Null or repeated
     doc_ids are packed as any others; an empty table gives no rows.
     """
-    prepared(docs.sparkSession)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     schema = ", ".join(f"`{n}` {'array<int>' if n == 'ids' else 'long'}" for n in names)
 
@@ -153,4 +152,4 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int
         if held:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(work, schema)
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")), work, schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import prepared
+from samewise.llm.common import mapped
 
 
 HEX_RUN = 24
@@ -150,7 +150,6 @@ def scanned(docs: DataFrame, carry: list[Column] | None = None) -> DataFrame:
     each span's characters replaced by ``[REDACTED]``, overlapping spans as
     one). No spans: empty strings. Rows stay as they are.
     """
-    prepared(docs.sparkSession)
     carry = carry or [F.col("doc_id")]
     out = docs.select(*carry, F.col("text").alias("__text"))
     schema = out.drop("__text").schema
@@ -169,7 +168,7 @@ def scanned(docs: DataFrame, carry: list[Column] | None = None) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1] + columns, names=schema.names)
 
-    return out.mapInArrow(work, schema)
+    return mapped(out, work, schema)
 
 
 def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
@@ -185,6 +184,6 @@ def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with their columns as they are, but for secrets blotted out of text."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    found = scanned(docs, [whole])
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row")
+    found = scanned(docs, [rest])
     return found.select(*[F.col("redacted").alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samewise.llm.common import new_path, prepared
+from samewise.llm.common import mapped, new_path
 from samewise.llm.pretokens import library_table
 
 MAGIC = b"SWSST1\0"
@@ -178,7 +178,6 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     equal doc_ids by a hash of the text), as a range partitioning with a sort inside deals
     them; the rows of one shard are streamed.
     """
-    prepared(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ordered = ordered.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
@@ -194,7 +193,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id:
         for part in write_shard(entries(batches), width):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["section"])
 
-    sections = ordered.mapInArrow(partial(work, 2 if _most_id(tokenizer_path, end_id) < 1 << 16 else 4), "section binary")
+    sections = mapped(ordered, partial(work, 2 if _most_id(tokenizer_path, end_id) < 1 << 16 else 4), "section binary")
     sections.select(F.col("section").cast("string")).write.option("lineSep", "\n").text(path)
 
 
@@ -211,7 +210,6 @@ def read_token_shards(spark: SparkSession, path: str, with_ids: bool = False) ->
     and, if asked for, the ids. Where a shard starts is a running sum over the
     shards' footers, one row per shard.
     """
-    prepared(spark)
     files = spark.read.format("binaryFile").load(path).where(F.col("length") > FOOTER_SIZE)
 
     def field(offset: int, size: int):
@@ -234,7 +232,7 @@ def read_token_shards(spark: SparkSession, path: str, with_ids: bool = False) ->
                 yield pa.RecordBatch.from_arrays(columns[: 5 + with_ids], names=["path", "doc_id", "local", "n_tokens", "ids_crc32", "ids"][: 5 + with_ids])
 
     schema = "path string, doc_id long, local long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    rows = files.select("path", "content").mapInArrow(work, schema)
+    rows = mapped(files.select("path", "content"), work, schema)
     out = rows.join(starts, "path").withColumn("start", F.col("shard_start") + F.col("local"))
     return out.select("doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
