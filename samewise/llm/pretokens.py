@@ -88,6 +88,7 @@ def range_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     It is the mixed sum of a mixed number for each (place, code point), so that,
     unlike a polynomial's, it has no short structured texts that collide.
     """
+    points, starts = points[starts[0] :], starts - starts[0]
     lengths = np.diff(np.append(starts, len(points)))
     values = np.arange(len(points), dtype=np.uint64)
     values -= np.repeat(starts.astype(np.uint64), lengths)

@@ -346,6 +346,13 @@ def test_blocks_and_homes_of_any_size_agree(spark, monkeypatch):
     assert got == groups_by_hand(rows, 85)
 
 
+def test_shingles_of_blank_edges():
+    for texts in (["  a b c d e f ", "\n", "", " a b c d e f"], ["a b c d e f"], [" "], ["", "a"]):
+        sets = neardup.shingle_sets(texts, 5)
+        assert [len(x) for x in sets] == [len(shingles(t)) for t in texts]
+        assert len({x.tobytes() for x, t in zip(sets, texts, strict=True) if len(shingles(t)) > 1}) <= 1
+
+
 def test_bayes_limits():
     for threshold in (neardup.Threshold(80), neardup.Threshold(85)):
         least = threshold.least_matches()
