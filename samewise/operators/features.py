@@ -10,17 +10,6 @@ from samewise.functions.text import combined
 from samewise.operators.records import EMPTY_COUNT, EMPTY_TEXT, latest
 
 #: Names and order of the features.
-STRUCTURED = (
-    "name_exact", "name_core_exact", "name_levenshtein", "name_core_levenshtein", "name_char_ngram_jaccard", "name_token_jaccard", "name_len_diff", "name_len_ratio",
-    "name_tokens_diff", "addr_exact", "addr_levenshtein", "addr_char_ngram_jaccard", "addr_token_jaccard", "addr_len_diff", "addr_len_ratio", "addr_tokens_diff",
-    "country_match", "has_pin_both", "pin_match", "pin_mismatch", "pin_prefix_match", "has_city_both", "city_match", "city_token_overlap", "has_house_both",
-    "house_match", "house_mismatch", "missing_name_s1", "missing_name_cand", "missing_addr_s1", "missing_addr_cand", "s1_name_tokens", "cand_name_tokens",
-    "s1_addr_tokens", "cand_addr_tokens",
-)
-FUZZY = (
-    "name_jaro_winkler", "name_token_sort_ratio", "name_token_set_ratio", "name_partial_ratio", "addr_jaro_winkler", "addr_token_sort_ratio",
-    "addr_token_set_ratio", "addr_partial_ratio", "combined_token_sort_ratio", "combined_token_set_ratio",
-)
 FEATURES = (
     "name_exact", "name_core_exact", "name_levenshtein", "name_core_levenshtein", "name_jaro_winkler", "name_token_sort_ratio", "name_token_set_ratio",
     "name_partial_ratio", "name_char_ngram_jaccard", "name_token_jaccard", "name_len_diff", "name_len_ratio", "name_tokens_diff", "addr_exact",
@@ -30,6 +19,8 @@ FEATURES = (
     "missing_name_cand", "missing_addr_s1", "missing_addr_cand", "s1_name_tokens", "cand_name_tokens", "s1_addr_tokens", "cand_addr_tokens",
     "combined_token_sort_ratio", "combined_token_set_ratio",
 )
+FUZZY = tuple(name for name, *_ in sim.FUZZY)
+STRUCTURED = tuple(n for n in FEATURES if n not in FUZZY)
 
 
 def with_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
@@ -50,6 +41,7 @@ def _flag(condition: Column) -> Column:
 
 
 def feature_columns(fuzzy: bool = True) -> dict[str, Column]:
+    """Each feature of a row of :func:`with_records`; the fuzzy ones are read from the struct ``fuzzy``."""
     out: dict[str, Column] = {}
     for kind, text in (("name", "clean_name"), ("addr", "clean_addr")):
         a, b = _sides(text)
@@ -60,11 +52,6 @@ def feature_columns(fuzzy: bool = True) -> dict[str, Column]:
             f"{kind}_tokens_diff": F.abs(ta - tb), f"missing_{kind}_s1": _flag(a == ""), f"missing_{kind}_cand": _flag(b == ""),
             f"s1_{kind}_tokens": ta, f"cand_{kind}_tokens": tb,
         }
-        if fuzzy:
-            out |= {
-                f"{kind}_jaro_winkler": sim.jaro_winkler(a, b), f"{kind}_token_sort_ratio": sim.token_sort_ratio(a, b) / 100,
-                f"{kind}_token_set_ratio": sim.token_set_ratio(a, b) / 100, f"{kind}_partial_ratio": sim.partial_ratio(a, b) / 100,
-            }
     core_a, core_b = _sides("name_core")
     pin_a, pin_b = _sides("pin")
     house_a, house_b = _sides("house_feat")
@@ -80,8 +67,7 @@ def feature_columns(fuzzy: bool = True) -> dict[str, Column]:
         "house_mismatch": _flag(houses & (house_a != house_b)),
     }
     if fuzzy:
-        a, b = combined(F.col("a_clean_name"), F.col("a_clean_addr")), combined(F.col("b_clean_name"), F.col("b_clean_addr"))
-        out |= {"combined_token_sort_ratio": sim.token_sort_ratio(a, b) / 100, "combined_token_set_ratio": sim.token_set_ratio(a, b) / 100}
+        out |= {n: F.col(f"fuzzy.{n}") for n in FUZZY}
     return {n: out[n].cast("double").alias(n) for n in FEATURES if n in out}
 
 
@@ -90,6 +76,9 @@ def pair_features(pairs: DataFrame, records: DataFrame, fuzzy: bool = True) -> D
     rows = with_records(pairs.select("s1", "cid"), records)
     if fuzzy:  # the comparisons cost far more than their bytes, by which adaptive execution sizes tasks: deal them evenly
         rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1", "cid")
+        names, addresses = _sides("clean_name"), _sides("clean_addr")
+        both = (combined(n, a) for n, a in zip(names, addresses, strict=True))
+        rows = rows.withColumn("fuzzy", sim.fuzzy_comparisons(*names, *addresses, *both))
     columns = feature_columns(fuzzy)
     return rows.select("s1", "cid", *[c.cast("float").alias(n) if fuzzy else c for n, c in columns.items()])
 

@@ -113,3 +113,23 @@ def test_similarity_properties(a, b):
     windows = [b[i:j] for i in range(len(b)) for j in range(i + 1, len(b) + 1) if j - i == len(a) or (j - i < len(a) and (i == 0 or j == len(b)))]
     if a and len(a) < len(b):
         assert sim.partial(a, b) == pytest.approx(max(sim.ratio(a, w) for w in windows))
+
+
+TEXTS = st.lists(st.tuples(st.text("abcé ", max_size=14), st.text("abcé ", max_size=14)), max_size=12)
+LONGER = st.lists(st.tuples(st.text("ab cd", max_size=200), st.text("ab cd", max_size=200)), max_size=4)
+
+
+@given(st.one_of(TEXTS, LONGER))
+@settings(max_examples=150, deadline=None)
+def test_batches_give_what_pairs_give(pairs):
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    for batch, single in (
+        (sim.lcs_lengths, sim.lcs_length), (sim.ratios, sim.ratio), (sim.token_sorts, sim.token_sort), (sim.token_sets, sim.token_set), (sim.partials, sim.partial),
+        (sim.jaro_winklers, sim.jaro_winkler_of),
+    ):
+        assert batch(a, b).tolist() == pytest.approx([single(x, y) for x, y in pairs])
+
+
+def test_null_sides_give_null(spark):
+    rows = spark.createDataFrame([("a", None), (None, None), ("a b", "b a")], "a string, b string")
+    assert [r[0] for r in rows.select(sim.token_sort_ratio(F.col("a"), F.col("b"))).collect()] == [None, None, 100]
