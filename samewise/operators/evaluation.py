@@ -102,19 +102,28 @@ def metrics(predictions: DataFrame, truth: DataFrame, universe: DataFrame) -> Da
 def sweep(scores: DataFrame, truth: DataFrame, universe: DataFrame, thresholds: tuple[float, ...] = PROBABILITY_GRID, score: str = "score") -> DataFrame:
     """The metrics at each threshold, in one pass over the scores.
 
-    An entity's counts at all thresholds are sums of one grouped aggregation, so
-    rows are not multiplied by the grid and only one row of each entity is
-    shuffled from each task.
+    A score falls into the bucket of the highest threshold that it passes; pairs
+    are counted by entity and bucket. An entity's few buckets are summed up from
+    the top in the task that holds it, and its rows at all thresholds go straight
+    into partial sums, one row for each threshold and task.
     """
-    marked = scores.select("s1", "cid", F.col(score).alias("v")).join(truth.select("s1", "cid", F.lit(1).alias("t")).distinct(), ["s1", "cid"], "left")
-    hit = F.col("t").isNotNull()
-    sums = [F.sum((F.col("v") >= t).cast("long")).alias(f"p{i}") for i, t in enumerate(thresholds)]
-    sums += [F.sum(((F.col("v") >= t) & hit).cast("long")).alias(f"h{i}") for i, t in enumerate(thresholds)]
-    each = marked.groupBy("s1").agg(*sums)
-    totals = truth.select("s1", "cid").distinct().groupBy("s1").agg(F.count("cid").alias("true_n"))
-    every = universe.select("s1").distinct().join(each, "s1", "left").join(totals, "s1", "left").fillna(0)
-    rows = [F.struct(F.lit(t).alias("threshold"), *_summary(F.col(f"p{i}"), F.col("true_n"), F.col(f"h{i}"))) for i, t in enumerate(thresholds)]
-    return every.agg(*[r.alias(f"r{i}") for i, r in enumerate(rows)]).select(F.inline(F.array(*[f"r{i}" for i in range(len(rows))])))
+    points = sorted(thresholds)
+    marks = truth.select("s1", "cid", F.lit(1).alias("t")).distinct()
+    marked = scores.select("s1", "cid", F.col(score).alias("v")).join(marks, ["s1", "cid"], "left")
+    passed = F.lit(0)
+    for t in points:
+        passed = passed + F.when(F.col("v") >= t, 1).otherwise(0)
+    buckets = marked.withColumn("k", passed).where("k > 0").groupBy("s1", "k").agg(F.count(F.lit(1)).alias("n"), F.count("t").alias("h"))
+    lists = buckets.groupBy("s1").agg(F.collect_list(F.struct("k", "n", "h")).alias("l"))  # no more entries than thresholds
+    totals = marks.groupBy("s1").agg(F.count("cid").alias("true_n"))
+    every = universe.select("s1").distinct().join(lists, "s1", "left").join(totals, "s1", "left").fillna(0, ["true_n"])
+    rows = every.select("true_n", "l", F.explode(F.sequence(F.lit(1), F.lit(len(points)))).alias("i"))
+    above = F.filter(F.coalesce("l", F.array().cast("array<struct<k:int,n:bigint,h:bigint>>")), lambda x: x["k"] >= F.col("i"))
+    summed = lambda field: F.aggregate(above, F.lit(0).cast("long"), lambda total, x: total + x[field]).alias(field)
+    rows = rows.select("i", "true_n", summed("n"), summed("h"))
+    sums = rows.groupBy("i").agg(*_summary(F.col("n"), F.col("true_n"), F.col("h")))
+    grid = scores.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(points)], "i int, threshold double")
+    return grid.join(sums, "i", "left").drop("i").fillna(0)
 
 
 def best_threshold(curve: DataFrame) -> DataFrame:

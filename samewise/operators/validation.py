@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MATCHING_HEADER = ("source1_entity_id", "matched_entity_ids")
@@ -25,43 +26,63 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(F.broadcast(starts), "part").select((F.col("begin") + F.col("place") + 1).alias("line_no"), "line")
 
 
+def _listed(rest: Column) -> Column:
+    """The ids of a comma list; it is not trimmed, and empty if blank."""
+    return F.when(F.trim(F.regexp_replace(rest, r"\s", " ")) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ","))
+
+
 def parsed(lines: DataFrame) -> DataFrame:
-    """s1 and ids of each line with a tab after the header line; the list is not trimmed, and empty if blank."""
+    """s1 and ids of each line with a tab after the header line."""
     rest = F.substring("line", F.instr("line", "\t") + 1, F.length("line"))
     rows = lines.where((F.col("line_no") > 1) & F.contains("line", F.lit("\t")))
-    ids = F.when(F.trim(F.regexp_replace(rest, r"\s", " ")) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ","))
-    return rows.select("line_no", F.split_part("line", F.lit("\t"), F.lit(1)).alias("s1"), ids.alias("ids"))
+    return rows.select("line_no", F.split_part("line", F.lit("\t"), F.lit(1)).alias("s1"), _listed(rest).alias("ids"))
 
 
-def _finding(rule: str, offenders: DataFrame, level: str = "error") -> DataFrame:
-    """One row if there are offenders; examples are the smallest, by a bounded top-N and not by collecting all."""
-    distinct = offenders.toDF("x").distinct()
-    few = distinct.orderBy("x").limit(EXAMPLES).agg(F.array_sort(F.collect_list("x")).alias("examples"))
-    return distinct.agg(F.count("x").alias("n")).crossJoin(few).where("n > 0").select(F.lit(rule).alias("rule"), F.lit(level).alias("level"), "n", "examples")
+def _told(found: DataFrame, level: str = "error") -> DataFrame:
+    """rule, level, n and examples of distinct rows (rule, x); examples are the smallest, by a group limit and not by collecting all."""
+    smallest = found.withColumn("place", F.row_number().over(W.partitionBy("rule").orderBy("x"))).where(F.col("place") <= EXAMPLES)
+    few = smallest.groupBy("rule").agg(F.array_sort(F.collect_list("x")).alias("examples"))
+    return found.groupBy("rule").agg(F.count("x").alias("n")).join(few, "rule").select("rule", F.lit(level).alias("level"), "n", "examples")
 
 
 def line_findings(lines: DataFrame, required: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """Findings about rows: malformed, repeated, self, prefix, unknown, missing and extra ids."""
-    rows = parsed(lines)
-    ids = rows.select("s1", F.explode("ids").alias("id"))
-    own, prefixed = F.col("id").startswith("S1-"), F.col("id").startswith("S2-") | F.col("id").startswith("S3-")
+    """Findings about rows: malformed, repeated, self, prefix, unknown, missing and extra ids.
+
+    Each line gives what is wrong with it by itself, its S1 and its ids; the ids
+    that must or may be there join them as rows, and one grouped aggregation over
+    all of these tells every rule's offenders, each once.
+    """
+    rest = F.substring("line", F.instr("line", "\t") + 1, F.length("line"))
+    tabbed = F.contains("line", F.lit("\t"))
     blank = F.trim(F.regexp_replace("line", r"\s", " ")) == ""
-    s1, wanted = rows.select("s1"), required.toDF("s1").distinct()
-    found = [
-        _finding("malformed_row", lines.where((F.col("line_no") > 1) & ~F.contains("line", F.lit("\t")) & ~blank).select(F.format_string("line %010d", "line_no"))),
-        _finding("duplicate_s1", s1.groupBy("s1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s1")),
-        _finding("repeated_id", rows.where(F.size("ids") != F.size(F.array_distinct("ids"))).select("s1")),
-        _finding("self_match", ids.where(own).select("id")),
-        _finding("wrong_prefix", ids.where(~own & ~prefixed).select("id")),
-        _finding("missing_s1", wanted.join(s1, "s1", "left_anti")),
-        _finding("extra_s1", s1.join(wanted, "s1", "left_anti")),
-    ]
-    if targets is not None:
-        found.append(_finding("unknown_id", ids.where(prefixed).select("id").join(targets.toDF("id").distinct(), "id", "left_anti")))
-    out = found[0]
-    for frame in found[1:]:
-        out = out.unionByName(frame)
-    return out
+    rows = lines.where(F.col("line_no") > 1).select("line_no", tabbed.alias("tabbed"), blank.alias("blank"), F.split_part("line", F.lit("\t"), F.lit(1)).alias("s1"), _listed(rest).alias("ids"))
+
+    def said(rule: Column, x: Column) -> Column:
+        return F.struct(rule.alias("rule"), x.alias("x"))
+
+    def some(condition: Column, *facts: Column) -> Column:
+        return F.when(condition, F.array(*facts)).otherwise(F.array().cast("array<struct<rule:string,x:string>>"))
+
+    prefixed = lambda i: i.startswith("S2-") | i.startswith("S3-")
+    kind = lambda i: F.when(i.startswith("S1-"), "self_match").when(prefixed(i), "id").otherwise("wrong_prefix")
+    facts = F.concat(
+        some(~F.col("tabbed") & ~F.col("blank"), said(F.lit("malformed_row"), F.format_string("line %010d", "line_no"))),
+        some(F.col("tabbed"), said(F.lit("s1"), F.col("s1"))),
+        some(F.col("tabbed") & (F.size("ids") != F.size(F.array_distinct("ids"))), said(F.lit("repeated_id"), F.col("s1"))),
+        F.when(F.col("tabbed"), F.transform("ids", lambda i: said(kind(i), i))).otherwise(F.array().cast("array<struct<rule:string,x:string>>")),
+    )
+    every = rows.select(F.inline(facts)).select("rule", "x", F.lit(1).alias("seen"), F.lit(0).alias("listed"))
+    for rule, ids in (("s1", required), ("id", targets)):
+        if ids is not None:
+            every = every.unionByName(ids.toDF("x").select(F.lit(rule).alias("rule"), "x", F.lit(0).alias("seen"), F.lit(1).alias("listed")))
+    each = every.groupBy("rule", "x").agg(F.sum("seen").alias("seen"), F.max("listed").alias("listed"))
+    seen, listed = F.col("seen"), F.col("listed") == 1
+    broken = (
+        F.when(F.col("rule") == "s1", F.array(F.when(seen > 1, "duplicate_s1"), F.when(listed & (seen == 0), "missing_s1"), F.when(~listed, "extra_s1")))
+        .when(F.col("rule") == "id", F.array(F.when(~listed, "unknown_id") if targets is not None else F.lit(None).cast("string")))
+        .otherwise(F.array("rule"))
+    )
+    return _told(each.select(F.explode(F.array_compact(broken)).alias("rule"), "x"))
 
 
 def last_rows(lines: DataFrame) -> DataFrame:
@@ -72,8 +93,8 @@ def last_rows(lines: DataFrame) -> DataFrame:
 
 def not_in_candidates(matching: DataFrame, candidate: DataFrame) -> DataFrame:
     """A warning for S1 with matches that are not among their candidates."""
-    extra = last_rows(matching).join(last_rows(candidate), ["s1", "cid"], "left_anti").select("s1")
-    return _finding("match_not_candidate", extra, "warning")
+    extra = last_rows(matching).join(last_rows(candidate), ["s1", "cid"], "left_anti").select(F.lit("match_not_candidate").alias("rule"), F.col("s1").alias("x"))
+    return _told(extra.distinct(), "warning")
 
 
 def row_counts(lines: DataFrame) -> DataFrame:

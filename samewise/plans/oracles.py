@@ -36,8 +36,8 @@ _ADDRESS = _folded(f"regexp_replace(lower({_ascii("coalesce(business_address, ''
 _TOKENS = "list_filter(regexp_split_to_array({}, '\\s+'), lambda x: x <> '')"
 
 BASE = f"""
-doc as (select doc_id, lang, n_chars, text, trim(regexp_replace(substr(text, 1, 400), '\\s+', ' ', 'g')) as t from documents),
-word as (select *, string_split(t, ' ') as w, concat('S', cast(doc_id % 3 + 1 as varchar), '-', lpad(cast(doc_id as varchar), 7, '0')) as entity_id from doc),
+doc as (select doc_id, lang, n_chars, text, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t from documents),
+word as (select *, string_split(t, ' ') as w, concat('S', cast(doc_id % 3 + 1 as varchar), '-', printf('%07d', doc_id)) as entity_id from doc),
 raw as (
   select entity_id, concat(substr(t, 1, 40), case doc_id % 4 when 0 then ' Pvt. Ltd.' when 1 then ' & Co' else '' end) as business_name,
     case when doc_id % 11 = 0 then null else concat(cast(n_chars as varchar), ' ', coalesce(w[3], ''), ' Rd., ', coalesce(w[4], ''), ', ', cast(100000 + (n_chars * 7919) % 900000 as varchar)) end as business_address,
@@ -114,10 +114,8 @@ rules as (select s1, cid, least(100.0, ratio + case when p1 <> '' and p1 = p2 th
 
 
 def _light() -> str:
-    return f"""with {_blocks().strip()},
-light as (
-  select s1, cid, floor((1 - levenshtein(a.name_core, b.name_core) / greatest(length(a.name_core), length(b.name_core), 1)) * 1000000) / 1000000 as score
-  from cand join rec a on a.entity_id = s1 join rec b on b.entity_id = cid)"""
+    return f"""{_scored()},
+light as (select s1, cid, floor(score * 10000) / 1000000 as score from rules)"""
 
 
 _F = "case when p <= 0 or r <= 0 then 0.0 else 1.25 * p * r / (0.25 * p + r) end"
@@ -275,7 +273,7 @@ def oracle_sql() -> dict[str, str]:
         "blocking_recall": f"""{blocks}, n as (select uni.s1, count(cand.cid) as n from uni left join cand on cand.s1 = uni.s1 group by uni.s1)
 select (select count(*) from n) as sampled_s1, (select round(avg(n), 6) from n) as avg_candidates, (select max(n) from n) as max_candidates, count(distinct truth.s1) as s1_with_truth,
   count(*) as true_total, count(cand.cid) as captured, round(coalesce(count(cand.cid) / nullif(count(*), 0), 1.0), 6) as recall from truth left join cand on cand.s1 = truth.s1 and cand.cid = truth.cid""",
-        "blocking_volume": f"""{with_score}, n as (select uni.s1, count(placed.cid) as r, count(placed.cid) filter (where rn <= 20) as f from uni left join placed on placed.s1 = uni.s1 group by uni.s1)
+        "blocking_volume": f"""{scored}, n as (select uni.s1, (select count(*) from cand where cand.s1 = uni.s1) as r, (select count(*) from top where top.s1 = uni.s1) as f from uni)
 select count(*) as s1_total, sum(r)::bigint as raw_candidates, sum(f)::bigint as final_candidates, round(avg(r), 6) as avg_raw, round(avg(f), 6) as avg_final, max(f) as max_final from n""",
         "sim_levenshtein": _sims(clean_name_sim=_lev("clean_name"), clean_addr_sim=_lev("clean_addr")),
         "sim_ngram_jaccard": _sims(clean_name_sim=_grams("clean_name"), clean_addr_sim=_grams("clean_addr")),
@@ -302,9 +300,11 @@ select pr.threshold, round(p, 6) as pair_precision, round(r, 6) as pair_recall,
         "threshold_sweep": f"{light}, {_swept('light', E.PROBABILITY_GRID)} select * from curve",
         "threshold_conservative": f"{light}, {_swept('light', E.PROBABILITY_GRID)}{_RAW_CURVE}{_BEST}",
         "final_matches": f"{light} {matched.format('light', 0.5)}",
-        "subset_violations": f"""{light}, top5 as (select s1, cid from (select s1, cid, row_number() over (partition by s1 order by {_SCORE} desc, cid) as rn from cand join rec a on a.entity_id = s1 join rec b on b.entity_id = cid) where rn <= 5)
-select count(distinct l.s1) as entities, count(*) as pairs from light l where score >= 0.5 and not exists (select 1 from top5 where top5.s1 = l.s1 and top5.cid = l.cid)""",
-        "score_verification": f"{light} select (select count(*) from cand) as pairs, count(*) as scored, count(*) filter (where not score between 0 and 1) as out_of_range, count(*) - count(distinct s1 || cid) as repeated, round(min(score), 6) as min_score, round(max(score), 6) as max_score, round(avg(score), 6) as mean_score from light",
+        "subset_violations": f"""{light} select count(distinct l.s1) as entities, count(*) as pairs from light l where score >= 0.5 and not exists (select 1 from top where top.s1 = l.s1 and top.cid = l.cid and rank <= 5)""",
+        "score_verification": f"{light} select (select count(*) from top) as pairs, count(*) as scored, count(*) filter (where not score between 0 and 1) as out_of_range, count(*) - count(distinct s1 || cid) as repeated, round(min(score), 6) as min_score, round(max(score), 6) as max_score, round(avg(score), 6) as mean_score from light",
+        "tsv_records": f"{base} select entity_id, nullif(business_name, '') as business_name, nullif(business_address, '') as business_address, nullif(country, '') as country from raw",
+        "tsv_scores": f"{light} select s1 as source1_entity_id, cid as candidate_entity_id, score as match_probability from light",
+        "tsv_candidates": f"{scored} select s1, cid, rank from top",
         "validator_findings": _findings(),
         "validator_subset": f"""{_BAD}, last as (select s1, ids, row_number() over (partition by s1 order by line_no desc) as rn from parsed),
 extra as (select distinct s1 as x from (select s1, unnest(ids) as id from last where rn = 1) where id <> 'S3-9999999' or s1 not in (select entity_id from numbered))

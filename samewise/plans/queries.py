@@ -18,7 +18,7 @@ from samewise.operators.records import normalized
 from samewise.plans.pipeline import ranked_candidates
 from samewise.shipping import ship
 from samewise.sources import fixture
-from samewise.sources.tables import only_needed, union_sources
+from samewise.sources.tables import only_needed, read_candidates, read_records, read_scores, scratch, union_sources, write_scores, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOW_CAPS = {**B.CAPS, "name_key": 10}
@@ -26,13 +26,14 @@ MATCH_AT, TREES = 80.0, 20
 
 
 class Frames:
-    """The frames that queries share, made when asked for."""
+    """The frames that a query shares among its steps, made when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ship(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self.raw = fixture.entities(spark, sf_dir)
         self.all = normalized(self.raw)
+        self.all.unpersist()  # what an earlier query kept: each query stands for itself
 
     def cleaned(self, *numbers: int) -> DataFrame:
         """Cleaned records of some sources, kept: blocking, ranking and features all read them."""
@@ -53,7 +54,7 @@ class Frames:
 
     @property
     def universe(self) -> DataFrame:
-        return self.s1.selectExpr("entity_id as s1")
+        return fixture.source(self.raw, 1).selectExpr("entity_id as s1")
 
     def candidates(self, kinds: tuple[str, ...] | None = None, caps: dict[str, int] = B.CAPS) -> DataFrame:
         return B.candidates(self.s1, self.others, caps, kinds)
@@ -68,11 +69,9 @@ class Frames:
         """Pairs of the same name key with both sides' names and addresses."""
         return FT.with_records(self.candidates(("name_key",)), self.all)
 
-    def light_scores(self) -> DataFrame:
-        """A score in [0, 1] of built-in functions alone, in steps of a millionth."""
-        rows = self.metadata()
-        value = F.floor(sim.levenshtein_similarity(F.col("a_name_core"), F.col("b_name_core")) * 1_000_000) / 1_000_000
-        return rows.select("s1", "cid", value.alias("score"))
+    def scores(self) -> DataFrame:
+        """The rule's scores of all candidates as shares of one, in steps of a millionth."""
+        return self.rules().select("s1", "cid", (F.floor(F.col("score") * 10_000) / 1_000_000).alias("score"))
 
     def rules(self) -> DataFrame:
         return E.rule_scores(self.ranked(), self.all)
@@ -117,17 +116,46 @@ def bad_lines(f: Frames) -> DataFrame:
 
 
 def _findings(f: Frames) -> DataFrame:
-    targets = f.others.select("entity_id")
-    found = V.line_findings(bad_lines(f), f.s1.select("entity_id"), targets)
+    others = f.raw.where(~F.col("entity_id").startswith("S1-")).select("entity_id")
+    found = V.line_findings(bad_lines(f), f.universe, others)
     return found.select("rule", "level", "n", F.array_join("examples", ";").alias("examples"))
 
 
 def _not_candidate(f: Frames) -> DataFrame:
-    listed = f.s1.select((F.substring("entity_id", 4, 7).cast("long") + 2).alias("line_no"), F.concat("entity_id", F.lit("\tS3-9999999")).alias("line"))
+    listed = f.universe.select((F.substring("s1", 4, 7).cast("long") + 2).alias("line_no"), F.concat("s1", F.lit("\tS3-9999999")).alias("line"))
     found = V.not_in_candidates(bad_lines(f), listed)
     return found.select("rule", "level", "n", F.array_join("examples", ";").alias("examples"))
 
 
+def _through_tsv(f: Frames) -> DataFrame:
+    """Records written as TSV with their columns in another order, and read back by header."""
+    path = scratch(f.spark, "records")
+    write_tsv(f.raw.select("country", "entity_id", "business_address", "business_name"), path)
+    return read_records(f.spark, path)
+
+
+def _through_scores(f: Frames) -> DataFrame:
+    path = scratch(f.spark, "scores")
+    write_scores(f.scores().selectExpr("s1 as source1_entity_id", "cid as candidate_entity_id", "score as match_probability"), path)
+    return read_scores(f.spark, path)
+
+
+def _through_lists(f: Frames) -> DataFrame:
+    path = scratch(f.spark, "lists")
+    write_tsv(B.candidate_lists(f.universe.selectExpr("s1 as entity_id"), f.ranked()), path)
+    return B.exploded(read_candidates(f.spark, path))
+
+
+def _learned(f: Frames) -> DataFrame:
+    """Train on most entities, tune on the others, decide all: the learned flow from end to end."""
+    rows, model = _gbt(f)
+    scores = M.score(model, rows)
+    held = E.split_by_hash(f.universe).where("is_val").select("s1")
+    curve = E.sweep(scores.join(held, "s1", "left_semi"), f.truth.join(held, "s1", "left_semi"), held)
+    best = E.best_threshold(curve).first()
+    return E.final_matches(scores, f.universe, E.resolve_threshold(None, best.asDict() if best else None))
+
+
 def _gbt(f: Frames):
     rows = E.split_by_hash(E.labelled(f.features(), f.truth))
     return rows, M.train(rows.where("not is_val"), M.Settings(trees=TREES))
@@ -139,7 +167,7 @@ def _gbt_scores(f: Frames) -> DataFrame:
 
 
 def _curve(f: Frames) -> DataFrame:
-    return E.sweep(f.light_scores(), f.truth, f.universe)
+    return E.sweep(f.scores(), f.truth, f.universe)
 
 
 def _rounded(frame: DataFrame, *columns: str) -> DataFrame:
@@ -151,7 +179,7 @@ _PREDICTED = 0.5
 
 
 def _predicted(f: Frames) -> DataFrame:
-    return f.light_scores().where(F.col("score") >= _PREDICTED)
+    return f.scores().where(F.col("score") >= _PREDICTED)
 
 
 PLANS: dict[str, Callable[[Frames], DataFrame]] = {
@@ -180,7 +208,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "rerank_topk": lambda f: _rounded(f.ranked(), "score"),
     "candidate_lists": lambda f: B.candidate_lists(f.s1, f.ranked()),
     "blocking_recall": lambda f: _rounded(B.recall(f.s1, f.candidates(), f.truth), "avg_candidates", "recall"),
-    "blocking_volume": lambda f: _rounded(B.volume(f.s1, f.candidates(), B.shortlist(f.metadata(), B.TOP_K)), "avg_raw", "avg_final"),
+    "blocking_volume": lambda f: _rounded(B.volume(f.universe.selectExpr("s1 as entity_id"), f.candidates(), f.ranked()), "avg_raw", "avg_final"),
     "sim_levenshtein": _sim(sim.levenshtein_similarity, "clean_name", "clean_addr"),
     "sim_ngram_jaccard": _sim(sim.ngram_jaccard, "clean_name", "clean_addr"),
     "sim_token_jaccard": _sim(sim.token_jaccard, "clean_name", "clean_addr"),
@@ -197,20 +225,24 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "class_balance": lambda f: _rounded(E.class_balance(E.labelled(f.candidates(), f.truth)), "positive_rate"),
     "entity_scores": lambda f: _rounded(E.entity_scores(_predicted(f), f.truth, f.universe), "score"),
     "macro_f05": lambda f: _rounded(E.metrics(_predicted(f), f.truth, f.universe), *_CURVE),
-    "evaluation_report": lambda f: _rounded(E.report(f.light_scores(), f.truth, f.universe), "pair_precision", "pair_recall", "pair_f05", "macro_f05"),
+    "evaluation_report": lambda f: _rounded(E.report(f.scores(), f.truth, f.universe), "pair_precision", "pair_recall", "pair_f05", "macro_f05"),
     "rule_scores": lambda f: _rounded(f.rules(), "score"),
     "rule_sweep": lambda f: _rounded(E.sweep(f.rules(), f.truth, f.universe, E.RULE_GRID), *_CURVE),
     "rule_best": lambda f: _rounded(E.best_threshold(E.sweep(f.rules(), f.truth, f.universe, E.RULE_GRID)), "macro_f05"),
     "rule_matches": lambda f: E.final_matches(f.rules(), f.universe, MATCH_AT),
     "threshold_sweep": lambda f: _rounded(_curve(f), *_CURVE),
     "threshold_conservative": lambda f: _rounded(E.best_threshold(_curve(f)), "macro_f05"),
-    "final_matches": lambda f: E.final_matches(f.light_scores(), f.universe, _PREDICTED),
-    "subset_violations": lambda f: E.subset_violations(E.final_matches(f.light_scores(), f.universe, _PREDICTED), B.candidate_lists(f.s1, B.shortlist(f.metadata(), 5).withColumn("rank", F.lit(1)))),
-    "score_verification": lambda f: _rounded(E.score_verification(f.candidates(), f.light_scores()), "min_score", "max_score", "mean_score"),
+    "final_matches": lambda f: E.final_matches(f.scores(), f.universe, _PREDICTED),
+    "subset_violations": lambda f: E.subset_violations(E.final_matches(f.scores(), f.universe, _PREDICTED), B.candidate_lists(f.universe.selectExpr("s1 as entity_id"), f.ranked().where("rank <= 5"))),
+    "score_verification": lambda f: _rounded(E.score_verification(f.ranked(), f.scores()), "min_score", "max_score", "mean_score"),
     "validator_findings": _findings,
     "validator_subset": _not_candidate,
     "validator_counts": lambda f: V.row_counts(bad_lines(f)),
     "gbt_scores": _gbt_scores,
+    "learned_matches": _learned,
+    "tsv_records": _through_tsv,
+    "tsv_scores": _through_scores,
+    "tsv_candidates": _through_lists,
     "feature_importance": lambda f: M.importances(f.spark, _gbt(f)[1]),
 }
 

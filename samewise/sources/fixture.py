@@ -11,13 +11,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _id(doc_id):
-    return F.concat(F.lit("S"), (doc_id % 3 + 1).cast("string"), F.lit("-"), F.lpad(doc_id.cast("string"), 7, "0"))
+    return F.concat(F.lit("S"), (doc_id % 3 + 1).cast("string"), F.lit("-"), F.format_string("%07d", doc_id))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record of each document; every 11th has no address, every 29th no country."""
+    """One record of each document: its name is the first 40 characters of the text, its address has the third and fourth word; every 11th has no address, every 29th no country."""
     doc = F.col("doc_id")
-    flat = F.trim(F.regexp_replace(F.substring("text", 1, 400), r"\s+", " "))
+    flat = F.trim(F.regexp_replace("text", r"\s+", " "))
     rows = documents(spark, sf_dir).select("doc_id", "lang", "n_chars", flat.alias("t")).withColumn("w", F.split("t", " "))
     ending = F.when(doc % 4 == 0, " Pvt. Ltd.").when(doc % 4 == 1, " & Co").otherwise("")
     word = lambda i: F.coalesce(F.try_element_at("w", F.lit(i)), F.lit(""))

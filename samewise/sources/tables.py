@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +19,17 @@ def _texts(columns: tuple[str, ...]) -> T.StructType:
 
 
 def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...], limit: int | None = None) -> DataFrame:
-    """A TAB-separated file with header, all text, no quoting; empty fields are null."""
-    reader = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("lineSep", "\n").option("enforceSchema", True)
-    frame = reader.schema(_texts(columns)).csv(path)
+    """A TAB-separated file, all text, no quoting; empty fields are null.
+
+    Columns are found by their names in the header, in any order and letter case;
+    others are not read, and a missing one is an error.
+    """
+    frame = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("lineSep", "\n").csv(path)
+    held = {c.strip().lower(): c for c in reversed(frame.columns)}
+    missing = [c for c in columns if c not in held]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    frame = frame.select(*[F.col(f"`{held[c]}`").alias(c) for c in columns])
     return frame if limit is None else frame.limit(limit)
 
 
@@ -63,6 +73,24 @@ def write_tsv(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
     frame.na.fill("").write.mode(mode).option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("nullValue", "").csv(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a temporary one in local runs that name none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return f"{(base or tempfile.mkdtemp(prefix='samewise-')).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def write_plot(curve: DataFrame, path: str, score: str = "macro_f05") -> None:
+    """The curve of a sweep (a row for each threshold) as an SVG picture, a text file of one line."""
+    rows = [(r["threshold"], r[score]) for r in curve.select("threshold", score).orderBy("threshold").collect()]
+    low, high = (rows[0][0], rows[-1][0]) if rows else (0.0, 1.0)
+    points = " ".join(f"{40 + 540 * (t - low) / ((high - low) or 1):.1f},{340 - 300 * y:.1f}" for t, y in rows)
+    marks = "".join(f'<text x="{x}" y="{y}">{text}</text>' for x, y, text in ((40, 360, f"{low:g}"), (560, 360, f"{high:g}"), (5, 345, "0"), (5, 45, "1"), (250, 20, f"{score} by threshold")))
+    picture = f'<svg xmlns="http://www.w3.org/2000/svg" width="600" height="370"><polyline fill="none" stroke="black" points="{points}"/>{marks}</svg>'
+    curve.sparkSession.createDataFrame([(picture,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_scores(scores: DataFrame, path: str) -> None:
     """Score rows with six decimals; no rows leave the header alone."""
     write_tsv(scores.select("source1_entity_id", "candidate_entity_id", F.format_string("%.6f", "match_probability").alias("match_probability")), path, "overwrite")
