@@ -2,7 +2,8 @@
 
 A rolling hash over the last seven bytes ends a piece wherever it is minus one
 modulo the block size; each piece gives one character of the signature. A
-fingerprint is ``size:signature:signature at twice the size``. The size is the
+fingerprint is ``size:signature:signature at twice the size:digest``, with a digest
+of the whole text, so that equal fingerprints mean equal texts. The size is the
 smallest of 3 * 2**k for which about 64 pieces are expected, halved while the
 signature has under 32 characters, doubled while it has over 256. Where a text
 repeats itself, all ends of a stretch may be lost at once when the size doubles; of
@@ -75,7 +76,7 @@ def _signature(data: np.ndarray, ends: np.ndarray) -> bytes:
 def fingerprint(text: str) -> str:
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     if not len(data):
-        return f"{LEAST_BLOCK}::"
+        return f"{LEAST_BLOCK}:::"
     size = LEAST_BLOCK
     while size * PIECES < len(data):
         size *= 2
@@ -95,7 +96,8 @@ def fingerprint(text: str) -> str:
     while size > LEAST_BLOCK and len(ends_at(size)) + 1 < PIECES // 2:
         size //= 2
     ends, doubled = ends_at(size), ends_at(2 * size)
-    return f"{size}:{_signature(wide, ends).decode()}:{_signature(wide, doubled).decode()}"
+    digest = hashlib.blake2b(data.tobytes(), digest_size=6).hexdigest()
+    return f"{size}:{_signature(wide, ends).decode()}:{_signature(wide, doubled).decode()}:{digest}"
 
 
 def edited(text: str, following: str) -> str:
@@ -105,11 +107,11 @@ def edited(text: str, following: str) -> str:
 
 
 def _alike(a: Column, b: Column) -> Column:
-    """1 minus the edit distance over the longer length, 0 if no seven characters are common; short signatures must be equal."""
+    """1 minus the edit distance over the longer length, 0 if no seven characters are common: shorter signatures, even equal ones, tell too little."""
     longest = F.greatest(F.length(a), F.length(b))
     grams = lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - (COMMON - 1)), lambda i: F.substring(s, i, F.lit(COMMON)))
     common = F.when((F.length(a) >= COMMON) & (F.length(b) >= COMMON), F.arrays_overlap(grams(a), grams(b))).otherwise(F.lit(False))
-    return F.when(a == b, F.lit(1.0)).when(common, 1 - F.levenshtein(a, b) / longest).otherwise(F.lit(0.0))
+    return F.when(common, 1 - F.levenshtein(a, b) / longest).otherwise(F.lit(0.0))
 
 
 def likeness(a: Column, b: Column) -> Column:

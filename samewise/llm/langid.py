@@ -6,7 +6,7 @@ each dictionary, and the language with the smallest sum wins. A prediction whose
 margin over the second language is narrow is marked as rejected.
 
 Fitting reads a bounded sample: at most ``per_language`` distinct texts of each
-of at most ``max_languages`` languages, ``slice_chars`` characters of each,
+language, ``slice_chars`` characters of each,
 chosen by hash over all labelled rows. Slices that dictionaries of the other
 half of the sample give to another language (wrong labels, mixed texts, license
 lines) are left out of the final dictionaries.
@@ -35,7 +35,7 @@ _BUCKETS = 1 << 30
 @dataclass(frozen=True)
 class Settings:
     per_language: int = 800
-    max_languages: int = 256
+    max_languages: int = 1000
     slice_chars: int = 256
     dictionary_bytes: int = 1 << 17
     block_chars: int = 2048
@@ -70,10 +70,12 @@ def sizes_of(text: str, compressors: list[zstandard.ZstdCompressor], block_chars
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """Dictionaries from columns text and lang; rows with a null in either, or no letter, teach nothing."""
+    """Dictionaries from columns text and lang; rows with a null in either, or no letter, teach nothing; more than ``max_languages`` languages are an error."""
     rows = labelled.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(settings.max_languages + 1).collect()
+    if len(counts) > settings.max_languages:
+        raise ValueError(f"more than {settings.max_languages} languages")
     if not counts:
         return Model((), (), settings)
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(_BUCKETS, int(1.3 * settings.per_language * _BUCKETS / max(1, r["n"]))))])

@@ -108,14 +108,16 @@ def pack_group(lengths: np.ndarray, capacity: int, max_piece: int) -> tuple[np.n
     return doc, start, length, window, offset
 
 
-def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = 1024, max_piece: int = 256, group_docs: int = 512, with_ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = 1024, max_piece: int = 256, group_docs: int = 512, group_ids: int = 1 << 22, with_ids: bool = False) -> DataFrame:
     """Pieces of the documents' token ids in sequences of at most ``capacity``.
 
     A document's ids are those of the tokenizers library (null text: none) and
     then ``end_id``. Returns doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset and, if asked for, the piece's ids. A sequence never
     spans two groups; its id is made of task, group and window. Null or repeated
-    doc_ids are packed as any others; an empty table gives no rows.
+    doc_ids are packed as any others; an empty table gives no rows. A group ends at
+    ``group_docs`` documents or ``group_ids`` ids, so that a worker holds no more than that
+    and one text, however long.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     schema = ", ".join(f"`{n}` {'array<int>' if n == 'ids' else 'long'}" for n in names)
@@ -126,9 +128,10 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int
         tail = np.array([end_id], np.uint32)
         held_ids: list[int | None] = []
         held: list[np.ndarray] = []
+        held_count = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal sequence, held, held_ids
+            nonlocal sequence, held, held_ids, held_count
             lengths = np.fromiter(map(len, held), np.int64, len(held))
             doc, start, length, window, offset = pack_group(lengths, capacity, max_piece)
             parts = [held[d][s : s + n] for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
@@ -140,14 +143,15 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int
             if with_ids:
                 columns.append(pa.array([p.tolist() for p in parts], pa.list_(pa.int32())))
             sequence += int(window.max()) + 1
-            held, held_ids = [], []
+            held, held_ids, held_count = [], [], 0
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), table.encode(batch.column(1).to_pylist()), strict=True):
                 held_ids.append(doc_id)
                 held.append(np.concatenate([ids, tail]))
-                if len(held) >= group_docs:
+                held_count += len(held[-1])
+                if len(held) >= group_docs or held_count >= group_ids:
                     yield flush()
         if held:
             yield flush()

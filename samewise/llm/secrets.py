@@ -49,6 +49,34 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved[4:] + moved[:4])) % 97 == 1
 
 
+#: Characters of an account number by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30,
+    "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+
+
+def account_end(match: re.Match) -> int | None:
+    """Where an account number of its country's length ends, if its checksum holds; what follows it is other text."""
+    wanted, text, at = IBAN_LENGTHS.get(match[1][:2].upper()), match[1], 0
+    if not wanted:
+        return None
+    for held, char in enumerate(c for c in text if c != " "):
+        at = text.index(char, at) + 1
+        if held + 1 == wanted:
+            whole = not match.string[match.start(1) + at : match.start(1) + at + 1].isalnum()
+            return match.start(1) + at if whole and mod97(text[:at].upper()) else None
+    return None
+
+
+def ends(ok: Callable[[re.Match], bool]) -> Callable[[re.Match], int | None]:
+    """Where a match ends if it passes, else None."""
+    return lambda match: match.end() if ok(match) else None
+
+
 def json_header(token: str) -> bool:
     head = token.split(".")[0]
     try:
@@ -57,23 +85,21 @@ def json_header(token: str) -> bool:
         return False
 
 
-def always(_: str) -> bool:
-    return True
-
-
-#: Name, keywords in lower case (an expression begins where its keyword does), expression, check. The order is the order of ties.
-Kind = tuple[str, tuple[str, ...], re.Pattern, Callable[[re.Match], bool]]
+#: Name, keywords in lower case (an expression begins where its keyword does), expression, and where a match that passes its check ends.
+#: The order is the order of ties. Checksums hold for forge, card and iban; a jwt's header must be JSON that names an
+#: algorithm, and pem has its two marker lines (or its base64 lines, where the last is missing) in place of a checksum.
+Kind = tuple[str, tuple[str, ...], re.Pattern, Callable[[re.Match], int | None]]
 KINDS: tuple[Kind, ...] = (
     ("assign", ("password", "passwd", "secret", "token", "apikey", "api_key"),
      re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE),
-     lambda m: len(m[2]) >= 6),
-    ("access", ("akia",), re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
-    ("hex", (), re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= HEX_RUN),
-    ("forge", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_"), re.compile(r"(gh[pousr]|npm)_[0-9A-Za-z]{36}(?![0-9A-Za-z])"), lambda m: crc_base62(m[0])),
-    ("jwt", ("eyj",), re.compile(r"eyJ[\w-]{8,}\.eyJ[\w-]{2,}\.[\w-]{8,}", re.ASCII), lambda m: json_header(m[0])),
-    ("pem", ("-----begin ",), re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"), lambda m: True),
-    ("card", ("card",), re.compile(r"card(?: number| no\.?)?[\"']?\x20*[:=#]?\x20*(\d(?:[ -]?\d){12,18})(?!\d)", re.ASCII | re.IGNORECASE), lambda m: luhn(m[1])),
-    ("iban", ("iban",), re.compile(r"iban\x20*[:=]?\x20*([A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?)(?![0-9A-Z])", re.ASCII | re.IGNORECASE), lambda m: mod97(m[1].upper())),
+     ends(lambda m: len(m[2]) >= 6)),
+    ("access", ("akia",), re.compile(r"AKIA[A-Z0-9]+"), ends(lambda m: len(m[0]) >= 20)),
+    ("hex", (), re.compile(r"[0-9a-f]+"), ends(lambda m: len(m[0]) >= HEX_RUN)),
+    ("forge", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_"), re.compile(r"(gh[pousr]|npm)_[0-9A-Za-z]{36}(?![0-9A-Za-z])"), ends(lambda m: crc_base62(m[0]))),
+    ("jwt", ("eyj",), re.compile(r"eyJ[\w-]{8,}\.eyJ[\w-]{2,}\.[\w-]{8,}", re.ASCII), ends(lambda m: json_header(m[0]))),
+    ("pem", ("-----begin ",), re.compile(r"-----BEGIN (?P<kind>(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----(?:(?:(?!-----)[\s\S])*-----END (?P=kind)-----|(?:\s*[A-Za-z0-9+/=]{16,})*)"), ends(lambda m: True)),
+    ("card", ("card",), re.compile(r"card(?: number| no\.?)?[\"']?\x20*[:=#]?\x20*(\d(?:[ -]?\d){12,18})(?!\d)", re.ASCII | re.IGNORECASE), ends(lambda m: luhn(m[1]))),
+    ("iban", ("iban",), re.compile(r"iban\x20*[:=]?\x20*([A-Z]{2}\d{2}(?: ?[0-9A-Z]){11,30})", re.ASCII | re.IGNORECASE), account_end),
 )
 
 
@@ -131,9 +157,10 @@ def scan(text: str) -> list[tuple[int, int, int]]:
             continue
         match = KINDS[number][2].match(text, at)
         if match:
-            past[number] = match.end()
-            if KINDS[number][3](match):
-                found.append((at, number, match.end()))
+            end = KINDS[number][3](match)
+            past[number] = match.end() if end is None else end
+            if end is not None:
+                found.append((at, number, end))
     return sorted(found)
 
 

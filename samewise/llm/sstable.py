@@ -17,10 +17,13 @@ index offset, index length, filter offset, filter length, documents, ids
 from __future__ import annotations
 
 import bisect
+import hashlib
+import io
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -69,8 +72,8 @@ def _read_number(data: bytes, at: int) -> tuple[int, int]:
 
 
 def _probes(key: bytes, bits: int) -> list[int]:
-    a, b = zlib.crc32(key), zlib.crc32(key, 0x5BD1E995) | 1
-    a = (a * 0x9E3779B1 + len(key)) & 0xFFFFFFFF
+    a, b = struct.unpack("<QQ", hashlib.blake2b(key, digest_size=16).digest())
+    b |= 1
     return [(a + i * b) % bits for i in range(PROBES)]
 
 
@@ -119,14 +122,17 @@ def write_shard(entries: Iterable[tuple[bytes, np.ndarray]], width: int, block_b
 
 
 class Shard:
-    """A reader of one shard's bytes."""
+    """A reader of one shard: its bytes, or a file object that can seek, of which it reads footer, index and filter, then single blocks."""
 
-    def __init__(self, data: bytes):
-        footer = data[-FOOTER_SIZE - 1 : -1]
+    def __init__(self, data: bytes | BinaryIO):
+        self.file = io.BytesIO(data) if isinstance(data, bytes) else data
+        footer = self._read(self.file.seek(0, io.SEEK_END) - FOOTER_SIZE - 1, FOOTER_SIZE)
+        if len(footer) < FOOTER_SIZE:
+            raise ValueError("not a shard")
         index_at, index_size, bloom_at, bloom_size, self.docs, self.ids, self.width, crc, _, magic = _FOOTER.unpack(footer)
         if magic != MAGIC:
             raise ValueError("not a shard")
-        self.data, listing, self.bloom = data, data[index_at : index_at + index_size], data[bloom_at : bloom_at + bloom_size]
+        listing, self.bloom = self._read(index_at, index_size), self._read(bloom_at, bloom_size)
         if zlib.crc32(self.bloom, zlib.crc32(listing)) != crc:
             raise ValueError("the shard's index is damaged")
         self.bits = max(64, BITS_PER_KEY * self.docs)
@@ -140,9 +146,13 @@ class Shard:
             length, at = _read_number(listing, at)
             self.places.append((place, length))
 
+    def _read(self, at: int, size: int) -> bytes:
+        self.file.seek(max(0, at))
+        return self.file.read(size)
+
     def _block(self, number: int) -> Iterator[tuple[bytes, np.ndarray]]:
         place, length = self.places[number]
-        data, at, key = zstandard.ZstdDecompressor().decompress(self.data[place : place + length]), 0, b""
+        data, at, key = zstandard.ZstdDecompressor().decompress(self._read(place, length)), 0, b""
         while at < len(data):
             shared, at = _read_number(data, at)
             rest, at = _read_number(data, at)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import lower_ascii
+from samewise.llm.common import lower_ascii, remove, stored
 from samewise.llm.components import connected_components
 
 #: The rules of the query: verdict by rule.
@@ -96,13 +96,15 @@ def judged(pages: DataFrame, rules: dict[str, str], default: str = "allow") -> D
     (allow before block); else ``default``. Rules also judge link targets that
     are no page here. A null url, or one without ``://``, has empty host and
     path, no rule and no alias. Rows stay as they are; repeated urls are one
-    node. Without any edge no join is made.
+    node. Without any edge no join is made; an empty table gives no rows. Very long
+    urls are nodes like others, and only the columns named above are read.
     """
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = with_rule(rows, rules)
     verdicts = F.create_map(*[F.lit(x) for item in rules.items() for x in item]) if rules else F.create_map(F.lit(""), F.lit(""))
-    edges = alias_edges(pages)
+    edges, edges_at = stored(alias_edges(pages), "alias-edges")
     if edges.isEmpty():
+        remove(pages.sparkSession, [edges_at])
         found = rows.withColumn("alias_verdict", F.lit(None).cast("string"))
     else:
         nodes = connected_components(edges, "node", "target")
