@@ -35,12 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samewise.llm.common import mapped, prepared, remove, runs_of, stored
-from samewise.llm.components import connected_components
+from samewise.llm.components import SALTS, connected_components
 from samewise.llm.pretokens import RUN_CHARS, code_points, mixed, range_hashes
 
 HASHES, BATCH, MISS = 128, 32, 1e-6
 #: Most classes of a bucket, and of a home, in one side of a block.
 BLOCK, HOME = 512, 1000
+#: Pairs of a block in the first round, and bytes of shingles that a block's sets may take on average; longer texts make for smaller blocks.
+PAIRS, BLOCK_BYTES = 2000, 1 << 25
+MOST_MARKED = 1 << 23
 BLOCK_KEY = ("h1", "p1", "h2", "p2")
 _Q = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -201,16 +204,11 @@ def _survivors(bands: int, rows: int, least: dict[int, int]):
                 found.append((x[keep], y[keep]))
         return tuple(np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int))
 
-    def packed(held: list[tuple]) -> pa.RecordBatch | None:
-        if len(held) < 2:
-            return None
-        band, _, i, j = held[0][:4]
-        columns = list(zip(*held, strict=True))
-        ids, comps, homes, parts = (np.array(columns[c], np.int64) for c in (4, 5, 8, 9))
-        if (comps == comps[0]).all():
-            return None
-        signs = np.frombuffer(b"".join(columns[6]), np.uint32).reshape(len(held), HASHES)
-        x, y = pairs_of({"component": comps, "signature": signs, "side": np.array(columns[7], np.int32)}, band, i != j)
+    def packed(group: pa.Table) -> pa.RecordBatch | None:
+        band, _, i, j = (group.column(c)[0].as_py() for c in range(4))
+        ids, comps, side, homes, parts = (group.column(c).to_numpy() for c in ("node", "component", "side", "home", "part"))
+        signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(len(ids), HASHES)
+        x, y = pairs_of({"component": comps, "signature": signs, "side": side}, band, i != j)
         if not len(x):
             return None
         turn = (homes[x] > homes[y]) | ((homes[x] == homes[y]) & (parts[x] > parts[y]))
@@ -225,18 +223,24 @@ def _survivors(bands: int, rows: int, least: dict[int, int]):
         kinds = (*[pa.int64()] * 4, *[pa.binary()] * 4, pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[*BLOCK_KEY, "a", "b", "ca", "cb", "nodes"])
 
+    def buckets_of(table: pa.Table, last: bool) -> tuple[list[pa.Table], list[pa.RecordBatch]]:
+        """The whole buckets of sorted rows that hold several components, and the rows of a bucket that may go on."""
+        keys = np.stack([table.column(c).to_numpy() for c in range(4)])
+        edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [table.num_rows]])
+        comps = table.column("component").to_numpy()
+        mixed = np.minimum.reduceat(comps, edges[:-1]) != np.maximum.reduceat(comps, edges[:-1])
+        whole = len(mixed) if last else len(mixed) - 1
+        found = [table.slice(edges[n], edges[n + 1] - edges[n]) for n in np.flatnonzero(mixed[:whole]).tolist()]
+        return found, [] if last else table.slice(edges[-2]).to_batches()
+
     def work(batches):
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][:4] != row[:4]:
-                    found, held = packed(held), []
-                    if found is not None:
-                        yield found
-                held.append(row)
-        found = packed(held)
-        if found is not None:
-            yield found
+            if batch.num_rows:
+                groups, held = buckets_of(pa.Table.from_batches([*held, batch]), False)
+                yield from filter(None, map(packed, groups))
+        if held:
+            yield from filter(None, map(packed, buckets_of(pa.Table.from_batches(held), True)[0]))
 
     return work
 
@@ -294,8 +298,8 @@ def _verify_block(threshold: Threshold, least: dict[int, int]):
 
 
 def _bitmap_of(ids: DataFrame, column: str, expected: int) -> tuple[int, bytes]:
-    """A bitmap of the hashes of ids: about 16 bits for each, 16 MB at most, made by partial aggregation."""
-    bits = 1 << min(27, max(15, math.ceil(math.log2(16 * max(1, expected)))))
+    """A bitmap of the hashes of no more than MOST_MARKED ids: 16 to 32 bits for each, 16 MB at most, made by partial aggregation."""
+    bits = 1 << max(15, math.ceil(math.log2(16 * max(1, expected))))
     place = F.pmod(F.xxhash64(F.col(column)), F.lit(bits)) + 1
     parts = ids.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
     data = bytearray(bits // 8)
@@ -312,7 +316,11 @@ def _rows_of(rows: DataFrame, wanted: DataFrame, expected: int, schema: str, mak
     """The rows whose doc_id may be a wanted node, by a bitmap that goes to each task: few rows are left for the join that decides.
 
     ``make`` turns batches of them into others of ``schema``, in the same worker.
+    Where more ids are wanted than the bitmap can tell apart, a join picks the rows.
     """
+    if expected > MOST_MARKED:
+        picked = rows.join(wanted.select(F.col("node").alias("__node")).distinct(), F.col("doc_id") == F.col("__node"), "left_semi")
+        return mapped(picked, make, schema) if make else picked
     bits, data = _bitmap_of(wanted.select("node"), "node", expected)
 
     def pick(batches):
@@ -363,7 +371,10 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     least = threshold.least_matches()
     signed, signed_at = stored(_signed(rows, threshold), "signatures")
     sound = signed.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    classes, classes_at = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep")), "class-ids")
+    classes, classes_at = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")), "class-ids")
+    mean = classes.agg(F.avg("size")).first()[0] or 1.0
+    classes = classes.drop("size")
+    home, most_pairs = (max(1, min(limit, int(BLOCK_BYTES / (8 * n * mean)))) for limit, n in ((HOME, 1), (PAIRS, 2)))
     members, _ = stored(signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), "members")
     # ids whose rows have different sets join the classes of these
     several = sound.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where(F.col("lo") != F.col("hi")).select("doc_id")
@@ -383,8 +394,8 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     first, first_at = stored(best.select(leader.alias("a"), F.col("node").alias("b"), leader.alias("ca"), F.col("node").alias("cb")), "pairs")
     leaders = first.groupBy("a").agg(F.count("b").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("hot")).first()
     total, hot = leaders["n"] or 0, leaders["hot"] or 0
-    # K x K blocks of about 2000 pairs each, with at most some thousand partners of one leader
-    k = max(1, math.ceil(math.sqrt(total / 2000)), math.ceil(hot / 4000))
+    # K x K blocks of about most_pairs pairs each, with at most twice as many partners of one leader
+    k = max(1, math.ceil(math.sqrt(total / most_pairs)), math.ceil(hot / (2 * most_pairs)))
     share = {"h1": F.pmod(F.xxhash64("a"), F.lit(k)), "p1": F.lit(0).cast("long"), "h2": F.pmod(F.xxhash64("b"), F.lit(k)), "p2": F.lit(0).cast("long")}
     keyed = first.withColumns(share)
     need = keyed.select(*BLOCK_KEY, F.explode(F.array("a", "b")).alias("node"))
@@ -395,13 +406,15 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("node").alias("n")).where(F.col("lo") != F.col("hi")).select("key", "n")
     blocks = F.ceil(F.col("n") / BLOCK)
     side = F.pmod(F.xxhash64("node"), blocks)
-    left = placed.join(mixed, "key").withColumn("side", side.cast("int"))
+    # a key that holds very many classes meets its count in salted shares
+    salts = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = placed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salts, ["key", "salt"]).withColumn("side", side.cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
     left = left.select("band", "key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "component", "side")
     left, left_at = stored(left, "mixed")
     # a class's home is its leader: classes of one group meet in few blocks, large homes are parted
     homes = left.select("node").distinct().join(first.select(F.col("b").alias("node"), F.col("a").alias("home")), "node", "left").withColumn("home", F.coalesce("home", "node"))
-    parts = homes.groupBy("home").agg(F.ceil(F.count("node") / HOME).alias("parts"))
+    parts = homes.groupBy("home").agg(F.ceil(F.count("node") / home).alias("parts"))
     homes, homes_at = stored(homes.join(parts, "home").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))), "homes")
     signs = _rows_of(signed.select("doc_id", "digest", "signature"), homes, homes.count(), "doc_id long, digest binary, signature binary")
     signs = signs.join(classes, "digest").where(F.col("doc_id") == F.col("rep")).select(F.col("rep").alias("node"), "signature")
@@ -427,16 +440,18 @@ def one_of_each(docs: DataFrame, threshold: Threshold = Threshold()) -> DataFram
     """The documents with their columns as they are, one of each group (the smallest doc_id); of rows with that doc_id all stay.
 
     Rows whose id is not in a bitmap of the dropped ids stay where they are; only
-    the others are joined with these ids.
+    the others are joined with these ids, or all if a bitmap can't hold these ids apart.
     """
     dropped, _ = stored(near_duplicates(docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("__drop")).distinct(), "dropped")
-    bits, data = _bitmap_of(dropped, "__drop", dropped.count())
+    n_dropped, doc_id = dropped.count(), F.col("doc_id").cast("long")
+    if n_dropped > MOST_MARKED:
+        return docs.withColumn("__id", doc_id).join(dropped, F.col("__id") == F.col("__drop"), "left_anti").drop("__id")
+    bits, data = _bitmap_of(dropped, "__drop", n_dropped)
 
     @F.pandas_udf("boolean")
     def listed(place: pd.Series) -> pd.Series:
         return pd.Series(_listed(data, place.to_numpy()))
 
-    doc_id = F.col("doc_id").cast("long")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     marked = docs.select(whole, doc_id.alias("__id"), listed(F.pmod(F.xxhash64(doc_id), F.lit(bits))).alias("__maybe"))
     rest = marked.where("__maybe").join(dropped, F.col("__id") == F.col("__drop"), "left_anti")

@@ -465,8 +465,12 @@ def test_blocks_and_homes_of_any_size_agree(spark, monkeypatch):
         rows.append((i, " ".join(copy)))
     monkeypatch.setattr(neardup, "BLOCK", 16)
     monkeypatch.setattr(neardup, "HOME", 20)
+    monkeypatch.setattr(neardup, "MOST_MARKED", 10)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 100_000)
     got = {r["doc_id"]: tuple(r)[1:] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Threshold(85)).collect()}
     assert got == groups_by_hand(rows, 85)
+    kept = neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Threshold(85))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, r in got.items() if r[2])
 
 
 def test_shingles_of_blank_edges():
