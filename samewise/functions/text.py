@@ -7,9 +7,10 @@ only characters beyond Latin need :func:`transliterate`'s Arrow tail.
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Word rules in the order in which they apply, and word lists.
@@ -47,6 +48,8 @@ MULTIPLE = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "t
 SINGLE = {"ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "Ð": "D", "ħ": "h", "Ħ": "H", "ı": "i", "’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-"}
 _CONSONANTS = "k kh g gh ng c ch j jh ny tt tth dd ddh nn t th d dh n n p ph b bh m y r r l l l v sh ss s h".split()
 _VOWELS = "a aa i ii u uu r l e e e ai o o o au".split()
+#: First code points of the Indic blocks, which share one layout.
+_INDIC = (0x900, 0x980, 0xA00, 0xA80, 0xB00, 0xB80, 0xC00, 0xC80, 0xD00)
 
 
 def _latin() -> tuple[str, str]:
@@ -59,32 +62,55 @@ def _latin() -> tuple[str, str]:
     return "".join(pairs), "".join(pairs.values())
 
 
-def _devanagari() -> dict[str, str]:
-    """Plain letters of the Devanagari block, by position in it."""
-    table = {chr(0x905 + i): v for i, v in enumerate(_VOWELS)}
-    table |= {chr(0x915 + i): c + "a" for i, c in enumerate(_CONSONANTS)}
-    return table | {chr(0x966 + i): str(i) for i in range(10)} | {"ं": "m", "ः": "h", "ँ": "n"}
-
-
-_SIGNS = {chr(0x93E + i): v for i, v in enumerate("aa i ii u uu r rr e e e ai o o o au".split())}
-
-
-def ascii_of(text: str | None) -> str | None:
+@lru_cache(1)
+def _indic() -> tuple[dict[str, str], dict[str, str]]:
+    """Letters of the Indic blocks by their place in them, and the vowel signs, which take the place of a letter's inherent a."""
+    letters, signs = {}, {}
+    for block in _INDIC:
+        letters |= {chr(block + 5 + i): v for i, v in enumerate(_VOWELS)} | {chr(block + 0x15 + i): c + "a" for i, c in enumerate(_CONSONANTS)}
+        letters |= {chr(block + 0x66 + i): str(i) for i in range(10)} | {chr(block + 1): "n", chr(block + 2): "m", chr(block + 3): "h"}
+        signs |= {chr(block + 0x3E + i): v for i, v in enumerate("aa i ii u uu r rr e e e ai o o o au".split())} | {chr(block + 0x4D): ""}
+    return letters, signs
+
+
+@lru_cache(1)
+def script_table() -> dict[str, str]:
+    """ASCII for the letters of other scripts, made on the driver by the transliterator among Spark's libraries.
+
+    Letters are taken one by one, so that a table of them serves all executors;
+    an ideograph's reading ends with a space. Empty without a running session.
+    """
+    session = SparkSession.getActiveSession()
+    if session is None:
+        return {}
+    transliterator = session._jvm.com.ibm.icu.text.Transliterator.getInstance("Any-Latin; Latin-ASCII")
+    letters = [chr(c) for c in range(0x180, 0x10000) if not 0xD800 <= c < 0xF900 and not any(b <= c < b + 0x80 for b in _INDIC) and unicodedata.category(chr(c))[0] in "LN"]
+    table = {}
+    for at in range(0, len(letters), 4000):
+        part = letters[at : at + 4000]
+        for letter, plain in zip(part, transliterator.transliterate("\n".join(part)).split("\n"), strict=True):
+            plain = "".join(c for c in unicodedata.normalize("NFKD", plain) if c.isascii())
+            table[letter] = plain + " " if unicodedata.name(letter, "").startswith("CJK UNIFIED") and plain else plain
+    return table
+
+
+def ascii_of(text: str | None, scripts: dict[str, str] | None = None) -> str | None:
     """Any text in ASCII: known letters by table, others by decomposition; what has neither goes."""
     if text is None or text.isascii():
         return text
-    letters, out = _devanagari(), []
+    (letters, signs), out = _indic(), []
     for char in text:
         if char in MULTIPLE or char in SINGLE:
             out.append(MULTIPLE.get(char) or SINGLE[char])
-        elif char in _SIGNS or char == "्":  # a vowel sign, or the sign for none, takes the place of the inherent a
+        elif char in signs:
             if out and out[-1].endswith("a"):
                 out[-1] = out[-1][:-1]
-            out.append(_SIGNS.get(char, ""))
+            out.append(signs[char])
         elif char in letters:
             out.append(letters[char])
         else:
-            out.append("".join(c for c in unicodedata.normalize("NFKD", char) if c.isascii()))
+            plain = "".join(c for c in unicodedata.normalize("NFKD", char) if c.isascii())
+            out.append(plain or (scripts or {}).get(char) or "".join((scripts or {}).get(c, "") for c in unicodedata.normalize("NFKD", char)))
     return "".join(out)
 
 
@@ -96,10 +122,11 @@ def transliterate(text: Column, tail: bool = True) -> Column:
         out = F.replace(out, F.lit(letter), F.lit(letters))
     if not tail:
         return out
+    scripts = script_table()
 
     @F.pandas_udf("string")
     def rest(texts: pd.Series) -> pd.Series:
-        return texts.map(ascii_of, na_action="ignore")
+        return texts.map(lambda x: ascii_of(x, scripts), na_action="ignore")
 
     odd = out.rlike(r"[^\x00-\x7F]")
     return F.coalesce(rest(F.when(odd, out)), out)

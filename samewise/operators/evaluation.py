@@ -179,6 +179,14 @@ def final_matches(scores: DataFrame, universe: DataFrame, threshold: float, scor
     return ids.join(lists, "s1", "left").select(F.col("s1").alias("source1_entity_id"), F.coalesce("matched_entity_ids", F.lit("")).alias("matched_entity_ids"))
 
 
+def decision_counts(matches: DataFrame, scores: DataFrame) -> DataFrame:
+    """Entities, those with a match, all matches, and the share of the scored pairs that passed."""
+    size = F.when(F.col("matched_entity_ids") == "", 0).otherwise(F.size(F.split("matched_entity_ids", ",")))
+    counts = matches.agg(F.count(F.lit(1)).alias("entities"), F.coalesce(F.sum((size > 0).cast("long")), F.lit(0)).alias("matched_entities"), F.coalesce(F.sum(size), F.lit(0)).alias("matches"))
+    asked = scores.agg(F.count(F.lit(1)).alias("pairs"))
+    return counts.crossJoin(asked).withColumn("pass_rate", F.coalesce(F.try_divide(F.col("matches"), F.col("pairs")), F.lit(0.0)))
+
+
 def subset_violations(matches: DataFrame, lists: DataFrame) -> DataFrame:
     """The number of S1 with a match that is not among their candidates, and of such matches."""
     matched = exploded(matches, "matched_entity_ids").select("s1", "cid").distinct()

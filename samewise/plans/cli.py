@@ -43,11 +43,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--max-depth", type=int, default=6)
     sub.add_argument("--val-ratio", type=float, default=0.2)
     sub.add_argument("--seed", type=int, default=42)
+    sub.add_argument("--limit-pairs", type=int, help="train on the first N candidate pairs only")
     command("score", "source1", "source2", "source3", "candidates", "model", "out")
     sub = command("tune", "scores", "truth", "curve", "best")
     sub.add_argument("--val-ratio", type=float, default=0.2)
     sub.add_argument("--seed", type=int, default=42)
     sub.add_argument("--grid", default="0.05,0.95,0.025")
+    sub.add_argument("--plot")
     sub = command("decide", "scores", "candidates", "out")
     sub.add_argument("--best")
     sub.add_argument("--threshold", type=float)
@@ -93,6 +95,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             T.write_tsv(E.final_matches(scores, universe, E.RULE_THRESHOLD if threshold is None else threshold), given.out)
         elif given.command == "train":
             truth = E.truth_pairs(T.read_ground_truth(spark, given.truth))
+            if given.limit_pairs:
+                pairs = pairs.orderBy("s1", "cid").limit(given.limit_pairs)
             rows = E.split_by_hash(E.labelled(pair_features(pairs, every), truth), given.val_ratio, given.seed).persist()
             if not_finite(rows).first()["not_finite"]:
                 raise ValueError("features hold values that are not finite")
@@ -115,6 +119,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         truth = E.truth_pairs(T.read_ground_truth(spark, given.truth))
         curve = E.sweep(scores.join(held, "s1", "left_semi"), truth, held, E.grid(*map(float, given.grid.split(",")))).persist()
         T.write_curve(curve.orderBy("threshold"), given.curve)
+        if given.plot:
+            T.write_plot(curve, given.plot)
         best = E.best_threshold(curve).first()
         T.write_best(best.asDict() if best else {}, given.best, spark)
     elif given.command == "decide":
@@ -123,6 +129,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         lists = T.read_candidates(spark, given.candidates)
         matches = E.final_matches(scores, lists.selectExpr("source1_entity_id as s1"), E.resolve_threshold(given.threshold, best, given.conservative))
         T.write_tsv(matches, given.out)
+        E.decision_counts(matches, scores).show()
         extra = E.subset_violations(matches, lists).first()
         if extra["pairs"]:
             print(f"warning: {extra['entities']} entities have matches outside their candidates", file=sys.stderr)

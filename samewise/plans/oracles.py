@@ -300,6 +300,8 @@ select pr.threshold, round(p, 6) as pair_precision, round(r, 6) as pair_recall,
         "threshold_sweep": f"{light}, {_swept('light', E.PROBABILITY_GRID)} select * from curve",
         "threshold_conservative": f"{light}, {_swept('light', E.PROBABILITY_GRID)}{_RAW_CURVE}{_BEST}",
         "final_matches": f"{light} {matched.format('light', 0.5)}",
+        "decision_counts": f"""{light}, passed as (select uni.s1, count(light.cid) as n from uni left join light on light.s1 = uni.s1 and score >= 0.5 group by uni.s1)
+select count(*) as entities, count(*) filter (where n > 0) as matched_entities, sum(n)::bigint as matches, (select count(*) from light) as pairs, round(sum(n) / (select count(*) from light), 6) as pass_rate from passed""",
         "subset_violations": f"""{light} select count(distinct l.s1) as entities, count(*) as pairs from light l where score >= 0.5 and not exists (select 1 from top where top.s1 = l.s1 and top.cid = l.cid and rank <= 5)""",
         "score_verification": f"{light} select (select count(*) from top) as pairs, count(*) as scored, count(*) filter (where not score between 0 and 1) as out_of_range, count(*) - count(distinct s1 || cid) as repeated, round(min(score), 6) as min_score, round(max(score), 6) as max_score, round(avg(score), 6) as mean_score from light",
         "tsv_records": f"{base} select entity_id, nullif(business_name, '') as business_name, nullif(business_address, '') as business_address, nullif(country, '') as country from raw",

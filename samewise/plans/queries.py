@@ -233,6 +233,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "threshold_sweep": lambda f: _rounded(_curve(f), *_CURVE),
     "threshold_conservative": lambda f: _rounded(E.best_threshold(_curve(f)), "macro_f05"),
     "final_matches": lambda f: E.final_matches(f.scores(), f.universe, _PREDICTED),
+    "decision_counts": lambda f: _rounded(E.decision_counts(E.final_matches(f.scores(), f.universe, _PREDICTED), f.scores()), "pass_rate"),
     "subset_violations": lambda f: E.subset_violations(E.final_matches(f.scores(), f.universe, _PREDICTED), B.candidate_lists(f.universe.selectExpr("s1 as entity_id"), f.ranked().where("rank <= 5"))),
     "score_verification": lambda f: _rounded(E.score_verification(f.ranked(), f.scores()), "min_score", "max_score", "mean_score"),
     "validator_findings": _findings,

@@ -53,8 +53,20 @@ def test_tokens(spark):
     assert one(spark, t.token_count(F.col("a")), a=" ") == 0
 
 
-def test_transliteration_beyond_latin(spark):
-    assert one(spark, t.transliterate(F.col("a")), a="राम café №5 中") == "raama cafe No5 "
+@pytest.mark.parametrize(
+    ("raw", "plain"),
+    [
+        ("राम café №5", "raama cafe No5"), ("Москва", "Moskva"), ("Αθήνα", "Athena"), ("東京", "dong jing "), ("ગુજરાત", "gujaraata"), ("서울", "seoul"), ("トヨタ", "toyota"),
+        ("Łódź Straße", "Lodz Strasse"), (None, None), ("", ""),
+    ],
+)
+def test_transliteration(spark, raw, plain):
+    assert one(spark, t.transliterate(F.col("a")), a=raw) == plain
+
+
+def test_names_of_other_scripts_have_keys(spark):
+    for raw in ("شركة النور", "Газпром", "北京银行", "עברית", "ไทย"):
+        assert len(one(spark, t.name_key(t.name_core(t.clean_name(F.col("a")))), a=raw)) >= 3
 
 
 def test_similarity_vectors():
