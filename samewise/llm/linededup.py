@@ -90,7 +90,8 @@ def _kept(docs: DataFrame, carry: list[Column], min_chars: int, min_docs: int) -
         F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("n_dropped").cast("long").alias("__dropped"), F.col("keep_runs").alias("__runs")
     )
     rows = docs.select(*carry, F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text_hash"), F.col("text").alias("__text"))
-    joined = rows.join(bitmaps, (F.col("__id") == F.col("__doc")) & (F.col("__text_hash") == F.col("__hash")), "left")
+    # bitmaps grow with the documents, and far beyond what their compressed files show: they are never broadcast
+    joined = rows.join(bitmaps.hint("merge"), (F.col("__id") == F.col("__doc")) & (F.col("__text_hash") == F.col("__hash")), "left")
     # an array of one, so that a text is split once and not for each run
     cut = F.transform(F.array(_lines(F.col("__text"))), lambda lines: F.flatten(F.transform("__runs", lambda r: F.slice(lines, r["start"] + 1, r["len"]))))
     kept = F.when(F.col("__runs").isNull(), F.col("__text")).otherwise(F.array_join(cut[0], "\n"))
