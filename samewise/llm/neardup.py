@@ -43,7 +43,7 @@ HASHES, BATCH, MISS = 128, 32, 1e-6
 BLOCK, HOME = 512, 1000
 #: Pairs of a block in the first round, and bytes of shingles that a block's sets may take on average; longer texts make for smaller blocks.
 PAIRS, BLOCK_BYTES = 2000, 1 << 25
-MOST_MARKED = 1 << 23
+MOST_MARKED, MOST_LISTED = 1 << 23, 1_000_000
 BLOCK_KEY = ("h1", "p1", "h2", "p2")
 _Q = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -392,12 +392,14 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold()) -> Data
     best = stars.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("l"))).alias("best"))
     leader = -F.col("best.l")
     first, first_at = stored(best.select(leader.alias("a"), F.col("node").alias("b"), leader.alias("ca"), F.col("node").alias("cb")), "pairs")
-    leaders = first.groupBy("a").agg(F.count("b").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("hot")).first()
-    total, hot = leaders["n"] or 0, leaders["hot"] or 0
-    # K x K blocks of about most_pairs pairs each, with at most twice as many partners of one leader
-    k = max(1, math.ceil(math.sqrt(total / most_pairs)), math.ceil(hot / (2 * most_pairs)))
-    share = {"h1": F.pmod(F.xxhash64("a"), F.lit(k)), "p1": F.lit(0).cast("long"), "h2": F.pmod(F.xxhash64("b"), F.lit(k)), "p2": F.lit(0).cast("long")}
-    keyed = first.withColumns(share)
+    # a leader's pairs are one block's affair, so each set goes to one block; leaders of more than most_pairs (one in most_pairs of all pairs at most) are parted
+    leaders = first.groupBy("a").agg(F.count("b").alias("n"))
+    total = leaders.agg(F.sum("n")).first()[0] or 0
+    parted = leaders.where(F.col("n") > most_pairs).select("a", F.ceil(F.col("n") / most_pairs).alias("parts"))
+    shares = first.join(F.broadcast(parted) if total / most_pairs <= MOST_LISTED else parted, "a", "left")
+    part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")) + 1, F.lit(0)).cast("long")
+    zero = F.lit(0).cast("long")
+    keyed = shares.withColumns({"h1": F.pmod(F.xxhash64("a"), F.lit(max(1, math.ceil(total / most_pairs)))), "p1": part, "h2": zero, "p2": zero}).drop("parts")
     need = keyed.select(*BLOCK_KEY, F.explode(F.array("a", "b")).alias("node"))
     links = _verified(keyed, need, 2 * total, known, threshold).unionByName(own)
     joined = connected_components(links).select("node", F.col("component").alias("c"))
