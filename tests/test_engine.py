@@ -199,6 +199,37 @@ def test_sources_and_sinks(spark, tmp_path):
     assert len(calls) == 1
 
 
+def test_columns_are_found_by_the_header(spark, tmp_path):
+    path = write(tmp_path / "r.tsv", "country\textra\tBusiness_Name\tentity_id\tbusiness_address\nIN\tx\tAcme\tS1-1\t\n")
+    assert [tuple(r) for r in T.read_records(spark, path).collect()] == [("S1-1", "Acme", None, "IN")]
+    with pytest.raises(ValueError, match="business_name"):
+        T.read_records(spark, write(tmp_path / "q.tsv", "entity_id\tcountry\nS1-1\tIN\n"))
+
+
+def test_sweep_of_nothing_and_plot(spark, tmp_path):
+    none = spark.createDataFrame([], "s1 string, cid string, score double")
+    curve = E.sweep(none, none, none.select("s1"))
+    assert curve.count() == 37 and tuple(curve.agg(F.max("macro_f05"), F.max("entities")).first()) == (0, 0)
+    T.write_plot(E.sweep(none, none, spark.createDataFrame([("a",)], "s1 string")), str(tmp_path / "plot"))
+    assert spark.read.text(str(tmp_path / "plot")).first()["value"].count(",40.0") == 37
+
+
+def test_decision_counts(spark):
+    scores = spark.createDataFrame([("a", "S2-1", 0.9), ("a", "S2-2", 0.8), ("b", "S2-1", 0.1)], "s1 string, cid string, score double")
+    matches = E.final_matches(scores, spark.createDataFrame([("a",), ("b",)], "s1 string"), 0.5)
+    assert tuple(E.decision_counts(matches, scores).first())[:4] == (2, 1, 2, 3)
+
+
+def test_shortlist_cuts_at_its_limit(spark):
+    one = normalized(spark.createDataFrame([("S1-1", "Acme Foods", "12 Rose Rd, Pune, 411001", "IN")], SCHEMA))
+    many = [(f"S2-{i:03d}", "Acme Foods" if i % 4 == 0 else f"Acme Foods {i}", "12 Rose Rd, Pune, 411001" if i % 7 == 0 else None, "IN") for i in range(140)]
+    rest = normalized(spark.createDataFrame(many, SCHEMA))
+    rows = B.with_metadata(B.candidates(one, rest), one, rest)
+    scored = rows.withColumn("n", B.shortlist_score()).collect()
+    best = sorted(scored, key=lambda r: (-r["n"], r["cid"]))[:100]
+    assert len(scored) == 140 and {r["cid"] for r in B.shortlist(rows).collect()} == {r["cid"] for r in best}
+
+
 def test_command_line(spark, tmp_path):
     paths = {"source1": tsv(tmp_path / "1.tsv", S1), "source2": tsv(tmp_path / "2.tsv", OTHERS[:2]), "source3": tsv(tmp_path / "3.tsv", OTHERS[2:])}
     sources = [x for k, v in paths.items() for x in (f"--{k}", v)]
