@@ -69,8 +69,9 @@ def only_needed(records: DataFrame, needed: DataFrame, key: str = "entity_id") -
 
 
 def write_tsv(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header and unquoted rows; null and empty lists leave an empty field."""
-    frame.na.fill("").write.mode(mode).option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("nullValue", "").csv(path)
+    """Header and unquoted rows, blanks at their ends kept; null and empty lists leave an empty field."""
+    writer = frame.na.fill("").write.mode(mode).option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("nullValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def scratch(spark: SparkSession, label: str) -> str:
