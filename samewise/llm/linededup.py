@@ -3,7 +3,7 @@
 The hashes of all long enough line keys are range-partitioned, with a secondary
 sort by document (largest first) and position. A hash is one range's affair, so
 its task streams its sorted rows through window functions: the first occurrence
-names the document that keeps the line, a dense rank counts the documents. The
+names the document that keeps the line, each document's first occurrence counts. The
 few hashes that hold a large share of all lines are dealt by document into slots
 of their own, spread over all tasks; their slots' counts, a bounded number of rows,
 are summed up afterwards. What comes back for each document is its keep bitmap,
@@ -43,8 +43,10 @@ def marked_lines(keyed: DataFrame, min_docs: int) -> tuple[DataFrame, list[int]]
     ranged = keyed.withColumn("slot", slot.cast("int")).repartitionByRange("h1", "h2", "slot")
     same = W.partitionBy("h1", "h2", "slot")
     ordered = same.orderBy(F.desc("doc_id"), "pos")
-    seen = ranged.withColumns({"keeper": F.first("doc_id").over(ordered), "rank": F.dense_rank().over(ordered)})
-    seen = seen.withColumn("n_docs", F.max("rank").over(same)).drop("rank")
+    seen = ranged.withColumns({"keeper": F.first("doc_id").over(ordered), "before": F.lag("doc_id").over(ordered)})
+    # a document's first occurrence counts; it may hold a line more than once
+    first = F.col("before").isNull() | (F.col("before") != F.col("doc_id"))
+    seen = seen.withColumn("n_docs", F.count(F.when(first, 1)).over(same)).drop("before")
     return seen.where((F.col("n_docs") >= min_docs) | (F.col("h1").isin(hot) if hot else F.lit(False))), hot
 
 

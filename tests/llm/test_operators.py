@@ -164,6 +164,13 @@ def test_hot_lines_are_dealt_into_slots(spark, monkeypatch):
     assert linededup._hot_hashes(keyed, 4) == [1]
 
 
+def test_a_line_twice_in_a_document_counts_once(spark):
+    line = "a line of more than forty characters that is twice in one"
+    rows = [(i, f"{line}\n{line}\nown {i}") for i in range(4)] + [(10 + i, f"{line.upper()}!\n{line}!") for i in range(5)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in linededup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == lines_by_hand(rows) and [got[i][1] for i in (0, 10, 14)] == [0, 2, 0]
+
+
 def test_keep_bitmaps_are_runs(spark):
     same = "a line of more than forty characters that repeats"
     rows = [(i, f"own {i}\n{same}\nlast {i}") for i in range(6)]
