@@ -545,45 +545,50 @@ def test_crops_keep_the_corners_inside_them():
             assert images.inliers(corners, images.describe(crop)) >= images.LEAST_INLIERS
 
 
-def changed_copies(whole):
-    """Copies made smaller, blurred and turned by angles that are no quarters."""
-    y, x = np.mgrid[:100, :100] - 49.5
+def turned(whole, angle, size):
+    """The middle of a picture, turned by an angle that is no quarter."""
+    y, x = np.mgrid[:size, :size] - (size - 1) / 2
     middle = (np.array(whole.shape) - 1) / 2
-    out = [images._smaller(whole, 1 / 0.9), images._smaller(images._box(whole, 1), 1.25), images._box(whole, 1)]
-    for angle in (np.pi / 9, np.pi / 4):
-        v, u = middle[0] + y * np.cos(angle) - x * np.sin(angle), middle[1] + y * np.sin(angle) + x * np.cos(angle)
-        v0, u0 = np.floor(v).astype(int), np.floor(u).astype(int)
-        fv, fu = v - v0, u - u0
-        out.append((whole[v0, u0] * (1 - fu) + whole[v0, u0 + 1] * fu) * (1 - fv) + (whole[v0 + 1, u0] * (1 - fu) + whole[v0 + 1, u0 + 1] * fu) * fv)
-    return [np.rint(c).astype(np.float32) for c in out]
+    v, u = middle[0] + y * np.cos(angle) - x * np.sin(angle), middle[1] + y * np.sin(angle) + x * np.cos(angle)
+    v, u = (np.clip(c, 0, n - 1.001) for c, n in zip((v, u), whole.shape, strict=True))
+    v0, u0 = np.floor(v).astype(int), np.floor(u).astype(int)
+    fv, fu = v - v0, u - u0
+    return (whole[v0, u0] * (1 - fu) + whole[v0, u0 + 1] * fu) * (1 - fv) + (whole[v0 + 1, u0] * (1 - fu) + whole[v0 + 1, u0 + 1] * fu) * fv
 
 
-def test_changed_copies_share_keys():
-    """Against brute force: of the pairs whose corners agree, those that meet on a key."""
+def changed_copies(whole, rng):
+    """Crops to a quarter, other tones with noise, a quarter turn, made smaller, blurred, turned by other angles."""
+    size = len(whole)
+    half, third, most = size // 2, size // 3, size * 5 // 8
+    out = [whole[:half, :half], whole[half // 2 : half // 2 + half, third : third + half], 0.8 * whole + 30 + rng.normal(0, 3, whole.shape), np.rot90(whole)[: size - 8, 5:]]
+    out += [images._smaller(whole, 1 / 0.9), images._smaller(images._box(whole, 1), 1.25), images._box(whole, 1), turned(whole, np.pi / 9, most), turned(whole, np.pi / 4, most)]
+    return [images.parse_pgm(images.to_pgm(np.asarray(c, np.float32))) for c in out]
+
+
+@pytest.mark.parametrize("size", [96, 160])  # 96 is what the query draws: few corners, so that a lost key shows
+def test_changed_copies_share_keys(size):
+    """Against brute force: pairs whose corners agree meet on a key, all at 160 pixels; of 1530 at 96 pixels 1524 did."""
     rng, agree, meet = np.random.default_rng(13), 0, 0
-    for n in range(6):
-        whole = images.parse_pgm(images.render(rng.normal(0, 0.125, 64).tolist(), 0, 0, 160))
+    for _ in range(8):
+        whole = images.parse_pgm(images.render(rng.normal(0, 0.125, 64).tolist(), 0, 0, size))
         corners = images.describe(whole)
         own = images.keys_of(images.marks(whole, corners[0]))
-        edits = [images.parse_pgm(images.to_pgm(x)) for x in (whole[:80, :80], whole[40:120, 30:110], 0.8 * whole + 30 + rng.normal(0, 3, whole.shape), np.rot90(whole)[:152, 5:])]
-        for k, copy in enumerate([*edits, *changed_copies(whole)]):
+        for copy in changed_copies(whole, rng):
             other = images.describe(copy)
-            if images.inliers(corners, other) >= images.LEAST_INLIERS:
+            if max(images.inliers(corners, other), images.inliers(other, corners)) >= images.LEAST_INLIERS:
                 agree += 1
-                shared = bool(len(np.intersect1d(own, images.keys_of(images.marks(copy, other[0])))))
-                meet += shared
-                assert shared or k >= len(edits)  # crops, tones, noise and quarter turns always meet
-    assert agree >= 45 and meet >= 0.8 * agree
+                meet += bool(len(np.intersect1d(own, images.keys_of(images.marks(copy, other[0])))))
+    assert agree >= 60 and meet >= (1 if size > 96 else 0.97) * agree
 
 
-def test_unrelated_images_share_no_key():
+def test_few_unrelated_images_share_a_key():
     rng, seen, shared = np.random.default_rng(21), [], 0
     for _ in range(40):
         image = images.parse_pgm(images.render(rng.normal(0, 0.125, 64).tolist(), 0, 0))
         seen.append(images.keys_of(images.marks(image, images.describe(image)[0])))
     for i in range(40):
         shared += sum(len(np.intersect1d(seen[i], seen[j])) > 0 for j in range(i))
-    assert shared <= 1
+    assert shared <= 0.05 * 780
 
 
 def test_classes_are_those_of_all_pairs(spark):
