@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samewise.functions import similarity as sim
+from samewise.operators.records import latest
 
 #: Ids that a key keeps, by type of key.
 CAPS = {"name_key": 150, "pin": 150, "token": 300, "house_street": 50, "pin_house": 50, "addr_token": 100}
@@ -67,10 +68,15 @@ def candidates(s1: DataFrame, others: DataFrame, caps: dict[str, int] = CAPS, ki
 _META = ("name_core", "name_key", "pin", "house_no", "sig_tokens", "addr_tokens")
 
 
+def _sides(s1: DataFrame, others: DataFrame, columns: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    left = s1.select(F.col("entity_id").alias("s1"), *[F.col(c).alias(f"a_{c}") for c in columns])
+    right = others.select(F.col("entity_id").alias("cid"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    return left, right
+
+
 def with_metadata(pairs: DataFrame, s1: DataFrame, others: DataFrame) -> DataFrame:
     """The columns that scoring needs, as a_* of S1 and b_* of the candidate."""
-    left = s1.select(F.col("entity_id").alias("s1"), *[F.col(c).alias(f"a_{c}") for c in _META])
-    right = others.select(F.col("entity_id").alias("cid"), *[F.col(c).alias(f"b_{c}") for c in _META])
+    left, right = _sides(s1, others, _META)
     return pairs.join(left, "s1").join(right, "cid")
 
 
@@ -111,6 +117,32 @@ def shortlist(pairs_with_metadata: DataFrame, most: int = SHORTLIST) -> DataFram
     return _best(pairs_with_metadata.withColumn("shortlist_score", shortlist_score()), "shortlist_score", most).drop("rank")
 
 
+def shortlisted(s1: DataFrame, others: DataFrame, caps: dict[str, int] = CAPS, most: int = SHORTLIST) -> DataFrame:
+    """s1, cid, shortlist_score and bonus: what :func:`shortlist` keeps of all candidates; ids of ``others`` and of ``s1`` count once.
+
+    A record's metadata goes where its keys meet, so a pair is scored there and is
+    two ids and two small numbers afterwards. Each task drops what is not among an
+    S1's best before anything is shuffled; a pair that meets on several keys has
+    the same place each time.
+    """
+    left, right = _sides(latest(s1), latest(others), _META)
+    probe = blocking_keys(s1).withColumnsRenamed({"entity_id": "s1", "country": "c1"}).join(left, "s1")
+    index = capped_index(blocking_keys(others), caps).withColumnsRenamed({"entity_id": "cid", "country": "c2", "key_type": "t2", "key": "k2"}).join(right, "cid")
+    same = (F.col("key_type") == F.col("t2")) & (F.col("key") == F.col("k2")) & F.col("c1").eqNullSafe(F.col("c2"))
+    pairs = probe.join(index, same).select("s1", "cid", shortlist_score().alias("shortlist_score"), rerank_bonus().alias("bonus"))
+    order = W.partitionBy("s1").orderBy(F.desc("shortlist_score"), "cid")
+    best = pairs.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= most)
+    return best.groupBy("s1", "cid").agg(F.max("shortlist_score").alias("shortlist_score"), F.max("bonus").alias("bonus"))
+
+
+def reranked_by_name(short: DataFrame, s1: DataFrame, others: DataFrame, most: int = TOP_K) -> DataFrame:
+    """What :func:`reranked` gives, for pairs that have their bonus: only names follow them."""
+    left, right = _sides(latest(s1), latest(others), ("name_core",))
+    rows = short.select("s1", "cid", "bonus").join(right, "cid").join(left, "s1")
+    score = F.least(F.lit(100.0), sim.token_sort_ratio(F.col("a_name_core"), F.col("b_name_core")) + F.col("bonus"))
+    return _best(rows.withColumn("score", score), "score", most).select("s1", "cid", "score", "rank")
+
+
 def reranked(short: DataFrame, most: int = TOP_K) -> DataFrame:
     """s1, cid, score, rank: the top of each S1 by fuzzy name similarity and bonuses. The costly comparison runs after the shortlist's window."""
     score = F.least(F.lit(100.0), sim.token_sort_ratio(F.col("a_name_core"), F.col("b_name_core")) + rerank_bonus())

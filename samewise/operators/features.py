@@ -71,16 +71,16 @@ def feature_columns(fuzzy: bool = True) -> dict[str, Column]:
     return {n: out[n].cast("double").alias(n) for n in FEATURES if n in out}
 
 
-def pair_features(pairs: DataFrame, records: DataFrame, fuzzy: bool = True) -> DataFrame:
-    """s1, cid and their features as 32-bit floats (without ``fuzzy``, the 35 that need no UDF, as doubles)."""
-    rows = with_records(pairs.select("s1", "cid"), records)
+def pair_features(pairs: DataFrame, records: DataFrame, fuzzy: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """s1, cid, the pairs' columns to ``keep`` and the features as 32-bit floats (without ``fuzzy``, the 35 that need no UDF, as doubles)."""
+    rows = with_records(pairs.select("s1", "cid", *keep), records)
     if fuzzy:  # the comparisons cost far more than their bytes, by which adaptive execution sizes tasks: deal them evenly
         rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1", "cid")
         names, addresses = _sides("clean_name"), _sides("clean_addr")
         both = (combined(n, a) for n, a in zip(names, addresses, strict=True))
         rows = rows.withColumn("fuzzy", sim.fuzzy_comparisons(*names, *addresses, *both))
     columns = feature_columns(fuzzy)
-    return rows.select("s1", "cid", *[c.cast("float").alias(n) if fuzzy else c for n, c in columns.items()])
+    return rows.select("s1", "cid", *keep, *[c.cast("float").alias(n) if fuzzy else c for n, c in columns.items()])
 
 
 def not_finite(features: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from samewise.operators import blocking as B
 from samewise.operators import evaluation as E
 from samewise.operators import model as M
 from samewise.operators.features import pair_features
-from samewise.operators.records import latest, normalized
+from samewise.operators.records import normalized
 
 
 @dataclass(frozen=True)
@@ -22,9 +22,8 @@ class BlockingSettings:
 
 def ranked_candidates(s1: DataFrame, others: DataFrame, settings: BlockingSettings = BlockingSettings()) -> DataFrame:
     """s1, cid, score, rank for cleaned records: union of blocks, shortlist, re-ranked top K."""
-    pairs = B.candidates(s1, others, settings.caps)
-    rows = B.with_metadata(pairs, latest(s1), latest(others))
-    return B.reranked(B.shortlist(rows, settings.shortlist), settings.top_k)
+    short = B.shortlisted(s1, others, settings.caps, settings.shortlist)
+    return B.reranked_by_name(short, s1, others, settings.top_k)
 
 
 def rule_matches(s1: DataFrame, others: DataFrame, threshold: float = E.RULE_THRESHOLD, settings: BlockingSettings = BlockingSettings()) -> DataFrame:

@@ -18,7 +18,7 @@ from samewise.operators.records import normalized
 from samewise.plans.pipeline import ranked_candidates
 from samewise.shipping import ship
 from samewise.sources import fixture
-from samewise.sources.tables import only_needed, read_candidates, read_records, read_scores, scratch, union_sources, write_scores, write_tsv
+from samewise.sources.tables import only_needed, read_candidates, read_records, read_scores, scratch, stored, union_sources, write_scores, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOW_CAPS = {**B.CAPS, "name_key": 10}
@@ -157,7 +157,9 @@ def _learned(f: Frames) -> DataFrame:
 
 
 def _gbt(f: Frames):
-    rows = E.split_by_hash(E.labelled(f.features(), f.truth))
+    """Labelled features, computed once for training and scoring, and the model; labels join the ids, before the features."""
+    pairs = E.split_by_hash(E.labelled(f.ranked().select("s1", "cid"), f.truth))
+    rows = stored(FT.pair_features(pairs, f.all, keep=("label", "is_val")), "features")
     return rows, M.train(rows.where("not is_val"), M.Settings(trees=TREES))
 
 

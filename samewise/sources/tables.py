@@ -82,6 +82,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{(base or tempfile.mkdtemp(prefix='samewise-')).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` written to a :func:`scratch` path and read back, so that what reads it several times computes it once."""
+    path = scratch(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def write_plot(curve: DataFrame, path: str, score: str = "macro_f05") -> None:
     """The curve of a sweep (a row for each threshold) as an SVG picture, a text file of one line."""
     rows = [(r["threshold"], r[score]) for r in curve.select("threshold", score).orderBy("threshold").collect()]

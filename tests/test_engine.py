@@ -12,9 +12,9 @@ from samewise.operators import evaluation as E
 from samewise.operators import model as M
 from samewise.operators import validation as V
 from samewise.operators.features import FEATURES, not_finite, pair_features
-from samewise.operators.records import normalized
-from samewise.plans import cli
-from samewise.plans.pipeline import learned_matches, ranked_candidates, rule_matches
+from samewise.operators.records import latest, normalized
+from samewise.plans import cli, queries
+from samewise.plans.pipeline import BlockingSettings, learned_matches, ranked_candidates, rule_matches
 from samewise.sources import tables as T
 from samewise.streaming.incremental import block_stream, store_index
 
@@ -230,6 +230,32 @@ def test_shortlist_cuts_at_its_limit(spark):
     assert len(scored) == 140 and {r["cid"] for r in B.shortlist(rows).collect()} == {r["cid"] for r in best}
 
 
+def test_pairs_are_shortlisted_where_their_keys_meet(spark):
+    """As by brute force over all candidates, with ties at the limit, pairs of several keys and repeated ids; before any shuffle of pairs each task keeps the best only."""
+    ones = [(f"S1-{i}", name, "12 Rose Rd, Pune, 411001", land) for i, (name, land) in enumerate([("Acme Foods", "IN"), ("Zeta Acme", "IN"), ("Acme Foods", None)])]
+    ones.append(("S1-0", "Acme Trading", "7 Lily Rd, Delhi, 110001", "IN"))
+    many = [(f"S2-{i:03d}", f"Acme Foods {i % 5}" if i % 3 else "Zeta Acme", "12 Rose Rd, Pune, 411001" if i % 7 == 0 else None, "IN" if i % 4 else None) for i in range(90)]
+    many += [("S2-001", "Acme Trading", None, "IN"), ("S2-002", "Acme Foods 2", None, "IN")]
+    one, rest = (normalized(spark.createDataFrame(r, SCHEMA)) for r in (ones, many))
+    every = B.with_metadata(B.candidates(one, rest), latest(one), latest(rest))
+    for most in (7, 100):
+        short = B.shortlisted(one, rest, most=most)
+        assert rows(short.select("s1", "cid", "shortlist_score")) == rows(B.shortlist(every, most).select("s1", "cid", "shortlist_score"))
+        settings = BlockingSettings(shortlist=most, top_k=5)
+        assert rows(ranked_candidates(one, rest, settings)) == rows(B.reranked(B.shortlist(every, most), 5))
+    plan = ranked_candidates(one, rest)._jdf.queryExecution().executedPlan().toString()
+    assert any("WindowGroupLimit" in line and "dense_rank" in line and "Partial" in line for line in plan.splitlines())
+
+
+def test_features_for_training_are_computed_once(spark):
+    frames = queries.Frames(spark, "/root/testdata/sf0.001")
+    labelled, _ = queries._gbt(frames)
+    plan = labelled._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Join" not in plan and "EvalPython" not in plan
+    again = E.split_by_hash(E.labelled(frames.features(), frames.truth))
+    assert rows(labelled.select(again.columns)) == rows(again)
+
+
 def test_command_line(spark, tmp_path):
     paths = {"source1": tsv(tmp_path / "1.tsv", S1), "source2": tsv(tmp_path / "2.tsv", OTHERS[:2]), "source3": tsv(tmp_path / "3.tsv", OTHERS[2:])}
     sources = [x for k, v in paths.items() for x in (f"--{k}", v)]
