@@ -23,10 +23,12 @@ FUZZY = tuple(name for name, *_ in sim.FUZZY)
 STRUCTURED = tuple(n for n in FEATURES if n not in FUZZY)
 
 
-def with_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """Pairs with a_* and b_* columns of both records; an unknown id is an empty record."""
+def with_records(pairs: DataFrame, records: DataFrame, dealt: bool = False) -> DataFrame:
+    """Pairs with a_* and b_* columns of both records; an unknown id is an empty record. If ``dealt``, all tasks get about as many S1, however few bytes they are."""
     rows = latest(records.select("entity_id", *EMPTY_TEXT, *EMPTY_COUNT))
-    for key, prefix in (("s1", "a"), ("cid", "b")):
+    for key, prefix in (("cid", "b"), ("s1", "a")):
+        if dealt and key == "s1":
+            pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1")
         side = rows.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{prefix}_{c}") for c in (*EMPTY_TEXT, *EMPTY_COUNT)])
         pairs = pairs.join(side, key, "left").fillna("", [f"{prefix}_{c}" for c in EMPTY_TEXT]).fillna(0, [f"{prefix}_{c}" for c in EMPTY_COUNT])
     return pairs
@@ -73,9 +75,9 @@ def feature_columns(fuzzy: bool = True) -> dict[str, Column]:
 
 def pair_features(pairs: DataFrame, records: DataFrame, fuzzy: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """s1, cid, the pairs' columns to ``keep`` and the features as 32-bit floats (without ``fuzzy``, the 35 that need no UDF, as doubles)."""
-    rows = with_records(pairs.select("s1", "cid", *keep), records)
-    if fuzzy:  # the comparisons cost far more than their bytes, by which adaptive execution sizes tasks: deal them evenly
-        rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1", "cid")
+    # the comparisons cost far more than their bytes, by which adaptive execution sizes tasks
+    rows = with_records(pairs.select("s1", "cid", *keep), records, dealt=fuzzy)
+    if fuzzy:
         names, addresses = _sides("clean_name"), _sides("clean_addr")
         both = (combined(n, a) for n, a in zip(names, addresses, strict=True))
         rows = rows.withColumn("fuzzy", sim.fuzzy_comparisons(*names, *addresses, *both))
