@@ -247,6 +247,13 @@ def test_pairs_are_shortlisted_where_their_keys_meet(spark):
     assert any("WindowGroupLimit" in line and "dense_rank" in line and "Partial" in line for line in plan.splitlines())
 
 
+def test_texts_of_both_sides_are_shuffled_no_second_time(sides):
+    pairs = sides[0].sparkSession.createDataFrame([("S1-1", "S2-1")], "s1 string, cid string")
+    plan = pair_features(pairs, sides[0].unionByName(sides[1]))._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert dealt and not [line for line in dealt if "cid" in line]
+
+
 def test_features_for_training_are_computed_once(spark):
     frames = queries.Frames(spark, "/root/testdata/sf0.001")
     labelled, _ = queries._gbt(frames)
