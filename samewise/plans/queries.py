@@ -18,7 +18,7 @@ from samewise.operators.records import normalized
 from samewise.plans.pipeline import ranked_candidates
 from samewise.shipping import ship
 from samewise.sources import fixture
-from samewise.sources.tables import only_needed, read_candidates, read_records, read_scores, scratch, stored, union_sources, write_scores, write_tsv
+from samewise.sources.tables import only_needed, read_candidates, read_records, read_scores, removed, scratch, stored, union_sources, write_scores, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOW_CAPS = {**B.CAPS, "name_key": 10}
@@ -157,9 +157,16 @@ def _learned(f: Frames) -> DataFrame:
 
 
 def _gbt(f: Frames):
-    """Labelled features, computed once for training and scoring, and the model; labels join the ids, before the features."""
-    pairs = E.split_by_hash(E.labelled(f.ranked().select("s1", "cid"), f.truth))
-    rows = stored(FT.pair_features(pairs, f.all, keep=("label", "is_val")), "features")
+    """Labelled features, computed once for training and scoring, and the model; labels join the ids, before the features.
+
+    Each step is written, so that the disk holds one step's shuffle files at a time.
+    """
+    short = stored(B.shortlisted(f.s1, f.others), "shortlist")
+    ranked = stored(B.reranked_by_name(short, f.s1, f.others).select("s1", "cid"), "ranked")
+    removed(short)
+    rows = stored(FT.pair_features(E.split_by_hash(E.labelled(ranked, f.truth)), f.all, keep=("label", "is_val")), "features")
+    removed(ranked)
+    f.all.unpersist()  # training needs the memory, and would push it to disk
     return rows, M.train(rows.where("not is_val"), M.Settings(trees=TREES))
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: While set, Spark deletes an execution's shuffle files as soon as it ends, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 RECORD_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 
 
@@ -83,10 +85,22 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
-    """``frame`` written to a :func:`scratch` path and read back, so that what reads it several times computes it once."""
-    path = scratch(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """``frame`` written to a :func:`scratch` path and read back, so that what reads it several times computes it once; the shuffle files behind it go."""
+    spark, path = frame.sparkSession, scratch(frame.sparkSession, label)
+    held = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, held)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def removed(frame: DataFrame) -> None:
+    """Delete the files of a :func:`stored` frame that nothing reads any more."""
+    for file in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+        target = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
+        target.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_plot(curve: DataFrame, path: str, score: str = "macro_f05") -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,6 +264,33 @@ def test_features_for_training_are_computed_once(spark):
     assert rows(labelled.select(again.columns)) == rows(again)
 
 
+def _shuffle_files(spark, at_most=None):
+    """Shuffle files on the local disk; deletion is asynchronous, so it is given some time to come down to ``at_most``."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    for _ in range(100):
+        n = manager.getAllFiles().mkString(" ").count("shuffle_")
+        if at_most is None or n <= at_most:
+            break
+        time.sleep(0.1)
+    return n
+
+
+def test_shuffle_files_go_once_a_step_is_written(spark):
+    held, before = spark.conf.get(T._CLEANUP), _shuffle_files(spark)
+    frame = T.stored(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "step")
+    assert _shuffle_files(spark, before) <= before and spark.conf.get(T._CLEANUP) == held
+    assert rows(frame) == [(k, 100) for k in range(10)]
+    T.removed(frame)
+    assert not [p for p in frame.inputFiles() if os.path.exists(p.removeprefix("file://"))]
+
+
+def test_training_begins_without_the_files_of_earlier_steps(spark, monkeypatch):
+    before, seen = _shuffle_files(spark), []
+    monkeypatch.setattr(M, "train", lambda *_: seen.append(_shuffle_files(spark, before)))
+    queries.queries()["feature_importance"](spark, "/root/testdata/sf0.001").collect()
+    assert len(seen) == 1 and seen[0] <= before
+
+
 def test_command_line(spark, tmp_path):
     paths = {"source1": tsv(tmp_path / "1.tsv", S1), "source2": tsv(tmp_path / "2.tsv", OTHERS[:2]), "source3": tsv(tmp_path / "3.tsv", OTHERS[2:])}
     sources = [x for k, v in paths.items() for x in (f"--{k}", v)]
