@@ -149,9 +149,10 @@ def _through_lists(f: Frames) -> DataFrame:
 def _learned(f: Frames) -> DataFrame:
     """Train on most entities, tune on the others, decide all: the learned flow from end to end."""
     rows, model = _gbt(f)
-    scores = M.score(model, rows)
+    scores = stored(M.score(model, rows), "scores")  # tuning and deciding both read them
+    removed(rows)
     held = E.split_by_hash(f.universe).where("is_val").select("s1")
-    curve = E.sweep(scores.join(held, "s1", "left_semi"), f.truth.join(held, "s1", "left_semi"), held)
+    curve = stored(E.sweep(scores.join(held, "s1", "left_semi"), f.truth.join(held, "s1", "left_semi"), held), "curve")
     best = E.best_threshold(curve).first()
     return E.final_matches(scores, f.universe, E.resolve_threshold(None, best.asDict() if best else None))
 
