@@ -39,19 +39,19 @@ LATER_THAN_UNICODE_16 = (
     0x1e6f4), (0x1e6fe, 0x1e6ff), (0x2b73a, 0x2b73f), (0x2b81e, 0x2b81e), (0x2cea2, 0x2cead), (0x323b0, 0x33479), (0x3d000, 0x3fc3f),
 )
 
-IdEncoder = Callable[[list[str]], list[list[int]]]
+#: A list of ids for each word, or the ids of all words and how many each word has.
+IdEncoder = Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]]
 
 
 @lru_cache(1)
 def class_table() -> np.ndarray:
     """The pattern's class of each code point."""
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    every = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
     classes = np.zeros(0x110000, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
         for found in regex.finditer(pattern, every):
             begin, end = found.span()
-            points = np.arange(begin, end)
-            classes[points + 0x800 * (points >= 0xD800)] = kind
+            classes[begin:end] = kind
     for first, last in LATER_THAN_UNICODE_16:
         classes[first : last + 1] = OTHER
     return classes
@@ -182,16 +182,16 @@ class WordTable:
             slot[left] = (slot[left] + 1) & mask
 
     def _add(self, hashes: np.ndarray, words: list[str]) -> None:
-        lists, first = self.encode_words(words), self.words
+        (ids, counts_of), first = _flat(self.encode_words(words)), self.words
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.flat, self.used = _appended(self.flat, self.used, [np.asarray(x, np.uint32) for x in lists if len(x)])
+        self.flat, self.used = _appended(self.flat, self.used, [ids])
         self.chars, self.chars_used = _appended(self.chars, self.chars_used, [points])
-        self.words = first + len(lists)
-        for sizes, begins, counts, used in ((map(len, lists), "begin", "count", self.used), (map(len, words), "char_begin", "char_count", self.chars_used)):
+        self.words = first + len(words)
+        for sizes, begins, counts, used in ((counts_of, "begin", "count", self.used), (map(len, words), "char_begin", "char_count", self.chars_used)):
             while self.words > len(getattr(self, begins)):
                 for name in (begins, counts):
                     setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(getattr(self, name))]))
-            each = np.fromiter(sizes, np.int32, len(lists))
+            each = np.fromiter(sizes, np.int32, len(words))
             getattr(self, begins)[first : self.words] = used - int(each.sum()) + np.cumsum(each) - each
             getattr(self, counts)[first : self.words] = each
         numbers = np.arange(first, self.words, dtype=np.int32)
@@ -240,10 +240,9 @@ class WordTable:
         flat, begin, counts = self.flat, self.begin[number], self.count[number].astype(np.int64)
         odd = self._differ(points, begins, lengths, number) if len(number) else number
         if len(odd):  # another word holds the hash: these are encoded on their own each time
-            lists = [np.asarray(x, np.uint32) for x in self.encode_words(text(odd))]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            own, sizes = _flat(self.encode_words(text(odd)))
             begin[odd], counts[odd] = len(flat) + np.cumsum(sizes) - sizes, sizes
-            flat = np.concatenate([flat, *lists])
+            flat = np.concatenate([flat, own])
         ends_at = np.cumsum(counts)
         total = int(ends_at[-1]) if len(ends_at) else 0
         ids = flat[np.arange(total) + np.repeat(begin - (ends_at - counts), counts)]
@@ -264,6 +263,14 @@ class WordTable:
             yield from self._run(texts[a:b])
 
 
+def _flat(encoded: list | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words (uint32), and how many each word has."""
+    if isinstance(encoded, tuple):
+        return encoded
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    return np.concatenate([np.zeros(0, np.uint32), *(np.asarray(x, np.uint32) for x in encoded)]), sizes
+
+
 def _appended(held: np.ndarray, used: int, parts: list[np.ndarray]) -> tuple[np.ndarray, int]:
     """The array, grown by doubling, with the parts behind its ``used`` numbers, and how many are used now."""
     total = sum(map(len, parts))
@@ -294,6 +301,31 @@ def cuts_words(spec: dict) -> bool:
     return bool(plain and usual and spec.get("normalizer") is None and model.get("type", "BPE") == "BPE")
 
 
+class LibraryWords:
+    """Ids of words from the tokenizers library, all words in one call.
+
+    That call tells which ids come out, not where each word's end: byte-level tokens stand for
+    as many bytes as they have characters, so each word's ids are those that fill its bytes.
+    Where the ids do not fill the words in this way, words are encoded one by one.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        held = tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(held.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(held.values())] = [len(token) for token in held]
+
+    def __call__(self, words: list[str]) -> list[list[int]] | tuple[np.ndarray, np.ndarray]:
+        if words:
+            ids = np.array(self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+            filled = np.cumsum(self.bytes_of[np.minimum(ids, len(self.bytes_of) - 1)])
+            last = np.searchsorted(filled, ends)
+            if len(ids) and filled[-1] == ends[-1] and int(ids.max()) < len(self.bytes_of) and np.array_equal(filled[last], ends):
+                return ids, np.diff(last, prepend=-1)
+        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
 @lru_cache(2)
 def library_table(path: str) -> WordTable | WholeTexts:
     """Texts encoded by the tokenizers library, word by word where the file allows; kept by each worker between tasks."""
@@ -307,4 +339,4 @@ def library_table(path: str) -> WordTable | WholeTexts:
         if not cuts_words(json.load(file)):
             return WholeTexts(tokenizer)
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return WordTable(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)], special)
+    return WordTable(LibraryWords(tokenizer), special)

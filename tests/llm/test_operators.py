@@ -901,3 +901,26 @@ def test_images_are_matched_once_for_both_directions(monkeypatch):
     a, b = pictures[0][1], pictures[2][1]
     bits = (np.unpackbits(a, axis=1)[:, None] != np.unpackbits(b, axis=1)[None]).sum(2)
     assert (made(*(np.ascontiguousarray(d.view(np.uint64).T) for d in (a, b))) == bits).all()
+
+
+def test_new_words_take_one_library_call(tokenizer):
+    """The ids of all words and their numbers, whatever a word holds; a vocabulary that lacks bytes gets its words one by one."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    words = [" a", "", "é", "'s", " \ud7ff", "日本", " x" * 3, "\x00", "\U0001f600", "no", *(w[:300] for w in STRUCTURED)]
+    ids, counts = pretokens.LibraryWords(tokenizer)(words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert pretokens.LibraryWords(tokenizer)([]) == []
+    small = Tokenizer(models.BPE(vocab={"a": 0, "b": 1, "ab": 2}, merges=[("a", "b")]))
+    small.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    assert pretokens.LibraryWords(small)(["ab", "bca", "c", ""]) == [[2], [1, 0], [], []]
+
+
+def test_classes_of_code_points_are_those_of_single_ones():
+    import regex
+
+    table = pretokens.class_table()
+    for point in [*range(0x3000), *range(0xD7F0, 0xE010), 0x1F600, 0x20000, 0x10FFFF]:
+        if not any(a <= point <= b for a, b in pretokens.LATER_THAN_UNICODE_16):
+            kinds = [k for k, p in ((pretokens.LETTER, r"\p{L}"), (pretokens.NUMBER, r"\p{N}"), (pretokens.SPACE, r"\p{White_Space}")) if regex.match(p, chr(point))]
+            assert table[point] == (kinds[0] if kinds else pretokens.OTHER)
