@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from samewise.shipping import ship
 
+#: While set, Spark deletes an execution's shuffle files as soon as it ends, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
@@ -42,14 +44,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/samewise/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
+def stored(df: DataFrame, label: str, settings: dict[str, str] | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder (under these settings of the session) and read it back: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    held = {name: spark.conf.get(name) for name in settings or {}}
+    try:
+        for name, value in (settings or {}).items():
+            spark.conf.set(name, value)
+        df.write.parquet(path)
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def stored_alone(df: DataFrame, label: str, **settings: str) -> tuple[DataFrame, str]:
+    """:func:`stored`, and the shuffle files behind it go at once: for steps whose shuffles would otherwise lie on the disk together."""
+    return stored(df, label, {_CLEANUP: "true", **settings})
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete written tables that nothing reads any more."""
     for path in paths:
