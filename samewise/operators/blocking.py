@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from samewise.functions import similarity as sim
 from samewise.operators.records import latest
+from samewise.sources.tables import removed, stored
 
 #: Ids that a key keeps, by type of key.
 CAPS = {"name_key": 150, "pin": 150, "token": 300, "house_street": 50, "pin_house": 50, "addr_token": 100}
@@ -129,12 +130,95 @@ def shortlisted(s1: DataFrame, others: DataFrame, caps: dict[str, int] = CAPS, m
     probe = blocking_keys(s1).withColumnsRenamed({"entity_id": "s1", "country": "c1"}).join(left, "s1")
     index = capped_index(blocking_keys(others), caps).withColumnsRenamed({"entity_id": "cid", "country": "c2", "key_type": "t2", "key": "k2"}).join(right, "cid")
     same = (F.col("key_type") == F.col("t2")) & (F.col("key") == F.col("k2")) & F.col("c1").eqNullSafe(F.col("c2"))
-    pairs = probe.join(index, same).select("s1", "cid", shortlist_score().alias("shortlist_score"), rerank_bonus().alias("bonus"))
+    return _best_where_met(probe.join(index, same), most)
+
+
+def _best_where_met(met: DataFrame, most: int) -> DataFrame:
+    pairs = met.select("s1", "cid", shortlist_score().alias("shortlist_score"), rerank_bonus().alias("bonus"))
     order = W.partitionBy("s1").orderBy(F.desc("shortlist_score"), "cid")
     best = pairs.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= most)
     return best.groupBy("s1", "cid").agg(F.max("shortlist_score").alias("shortlist_score"), F.max("bonus").alias("bonus"))
 
 
+#: The shortlist's rules by letter: name, pin, house, address tokens, name tokens; and those that hold for all pairs on a key of a type, with their points.
+_RULES = "nphas"
+_SETTLED = {"name_key": ("", 0), "pin": ("p", 25), "token": ("s", 20), "house_street": ("ha", 45), "pin_house": ("ph", 50), "addr_token": ("a", 20)}
+
+
+def _traits(records: DataFrame, probe: bool, lengths: list[int]) -> DataFrame:
+    """(probe, id, traits): what a record may share with a partner for points, as (rule, value, points); ``lengths`` are those of the probes' name keys."""
+    core, pin, house = F.col("name_core"), F.col("pin"), F.col("house_no")
+    key = F.col("name_key")
+    starts = [(key != "", key)] if probe else [(F.length(core) >= n, F.substring(core, 1, n)) for n in lengths]
+    single = [("n", core != "", F.concat(F.lit("="), core), 100 + F.when((key != "") & core.startswith(key), 20).otherwise(0)), *[("n", *s, F.lit(20)) for s in starts]]
+    single += [("p", pin != "", F.concat(F.lit("="), pin), F.lit(25)), ("p", F.length(pin) >= 3, F.substring(pin, 1, 3), F.lit(10)), ("h", house != "", house, F.lit(25))]
+    traits = lambda rule, values, points: F.transform(values, lambda v: F.struct(F.lit(rule).alias("rule"), v.alias("value"), points.alias("points")))
+    none = F.array().cast("array<struct<rule:string,value:string,points:int>>")
+    found = [F.when(ok, traits(rule, F.array(v), points)).otherwise(none) for rule, ok, v, points in single]
+    found += [F.coalesce(traits(rule, F.array_distinct(column), F.lit(20)), none) for rule, column in (("a", "addr_tokens"), ("s", "sig_tokens"))]
+    return records.select(F.lit(probe).alias("probe"), F.col("entity_id").alias("id"), F.concat(*found).alias("traits"))
+
+
+def _met_nodes(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (probe, id, node, settled, last, points) of nodes that have both sides, with place among the node's candidates and whether those are more than ``most``; written."""
+    node = W.partitionBy("node")
+    n = F.sum(F.when(F.col("probe"), 0).otherwise(1)).over(node)
+    counted = rows.withColumns({"n": n, "probes": F.sum(F.when(F.col("probe"), 1).otherwise(0)).over(node), "place": F.row_number().over(node.orderBy("probe", "id"))})
+    met = counted.where((F.col("n") > 0) & (F.col("probes") > 0)).withColumn("hot", F.col("n") > most)
+    return stored(met.select("probe", "id", "node", "settled", "last", "points", "place", "hot"), "nodes")
+
+
+def shortlisted_of_all(s1: DataFrame, others: DataFrame, most: int = SHORTLIST) -> DataFrame:
+    """What :func:`shortlisted` gives if keys have no cap: the best of all that share a key, found without listing all.
+
+    A key is a node. A node with more than ``most`` candidates has a child for each
+    rule that gives points and each value that a record has under it; its records
+    go to their children too, and so on. An S1 meets the first ``most`` ids of each
+    of its nodes. That is exact: take a pair that shares a key and the node of all
+    rules that hold for it. If that node or one above has no more than ``most``
+    candidates, the pair is met there. Otherwise each candidate of the node gets from
+    this S1 the pair's points at least, so a pair that is not among the first
+    ``most`` is outdone by as many with smaller ids, all of which share the key. For
+    the same reason an S1 that has more than ``most`` candidates at a node of some
+    points leaves out those of its large nodes that stand for pairs of fewer.
+    """
+    one, rest = latest(s1), latest(others)
+    repeated = any(not r.groupBy("entity_id").count().where("count > 1").isEmpty() for r in (s1, others))
+    lengths = sorted(r["n"] for r in one.select(F.length("name_key").alias("n")).distinct().collect() if r["n"])
+    traits = _traits(one, True, lengths).unionByName(_traits(rest, False, lengths))
+    # the country is told apart by its length; cleaned keys and values have no tabs
+    country = F.coalesce(F.concat(F.length("country").cast("string"), F.lit(":"), "country"), F.lit("-"))
+    # a repeated id may have its keys from another row than its metadata, and then a key settles nothing
+    by_type = lambda i: F.create_map(*[F.lit(x) for kind, given in _SETTLED.items() for x in (kind, given[i])])[F.col("key_type")]
+    settled, points = (F.lit(""), F.lit(0)) if repeated else (by_type(0), by_type(1))
+    rows = None
+    for probe, records in ((True, s1), (False, others)):
+        side = blocking_keys(records).select(
+            F.lit(probe).alias("probe"), F.col("entity_id").alias("id"), F.concat_ws("\t", country, "key_type", "key").alias("node"), settled.alias("settled"), F.lit(0).alias("last"), points.alias("points")
+        )
+        side = side.distinct() if repeated else side
+        rows = rows.unionByName(side) if rows else side
+    levels = [_met_nodes(rows, most)]
+    while not levels[-1].where("hot").isEmpty():  # at most one level for each rule, as a child's rule comes after its node's
+        hot = levels[-1].where("hot").join(traits, ["probe", "id"]).select("probe", "id", "node", "settled", "last", "points", F.explode("traits").alias("t"))
+        rule = F.instr(F.lit(_RULES), F.col("t.rule"))
+        hot = hot.where((rule > F.col("last")) & (F.instr("settled", F.col("t.rule")) == 0))
+        child = F.concat_ws("\t", "node", "t.rule", "t.value").alias("node")
+        levels.append(_met_nodes(hot.select("probe", "id", child, "settled", rule.alias("last"), (F.col("points") + F.col("t.points")).alias("points")), most))
+    nodes = levels[0]
+    for level in levels[1:]:
+        nodes = nodes.unionByName(level)
+    left, right = _sides(one, rest, _META)
+    enough = F.max(F.when(F.col("hot"), F.col("points"))).over(W.partitionBy("id"))
+    probe = nodes.where("probe").withColumn("enough", enough).where(~F.col("hot") | (F.col("points") >= F.col("enough")))
+    probe = probe.select("node", F.col("id").alias("s1")).join(left, "s1")
+    index = nodes.where(~F.col("probe") & (F.col("place") <= most)).select("node", F.col("id").alias("cid")).join(right, "cid")
+    best = stored(_best_where_met(probe.join(index, "node"), most), "shortlist")
+    for level in levels:
+        removed(level)
+    return best
+
+
 def reranked_by_name(short: DataFrame, s1: DataFrame, others: DataFrame, most: int = TOP_K) -> DataFrame:
     """What :func:`reranked` gives, for pairs that have their bonus: only names follow them."""
     left, right = _sides(latest(s1), latest(others), ("name_core",))

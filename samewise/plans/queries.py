@@ -160,9 +160,9 @@ def _learned(f: Frames) -> DataFrame:
 def _gbt(f: Frames):
     """Labelled features, computed once for training and scoring, and the model; labels join the ids, before the features.
 
-    Each step is written, so that the disk holds one step's shuffle files at a time.
+    No key is capped here. Each step is written, so that the disk holds one step's shuffle files at a time.
     """
-    short = stored(B.shortlisted(f.s1, f.others), "shortlist")
+    short = B.shortlisted_of_all(f.s1, f.others)
     ranked = stored(B.reranked_by_name(short, f.s1, f.others).select("s1", "cid"), "ranked")
     removed(short)
     rows = stored(FT.pair_features(E.split_by_hash(E.labelled(ranked, f.truth)), f.all, keep=("label", "is_val")), "features")

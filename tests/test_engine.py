@@ -248,6 +248,43 @@ def test_pairs_are_shortlisted_where_their_keys_meet(spark):
     assert any("WindowGroupLimit" in line and "dense_rank" in line and "Partial" in line for line in plan.splitlines())
 
 
+def _crowd(spark):
+    """Records whose keys are shared by many, with ties, short names, spaces within name keys, and records that keys meet but rules tell apart."""
+    words, lands = ("acme", "foods", "al", "zeta", "rose", "acmex"), ("IN", "in\tx", None)
+    make = lambda s, n, k: [
+        (f"{s}-{i:04d}", " ".join(words[(i * k + j * (i // 7 + 1)) % 6] for j in range(1 + i % 3)), f"{i * k % 4} {('Rose', 'Lily', 'Main')[i % 3]}garden, {('Pune', 'Pu')[i % 2]}, {411001 + i * k % 3 * 60000}" if i % 5 else None, lands[i % 3 % (1 + i % 4)])
+        for i in range(n)
+    ]
+    return make("S1", 40, 5), make("S2", 420, 11)
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_shortlist_of_all_is_the_best_of_every_pair(spark, again):
+    """As by brute force over all pairs that share a key, whatever the keys' frequency; an id with two rows may have keys that its metadata lacks."""
+    ones, many = _crowd(spark)
+    if again:
+        ones, many = ones + [("S1-0001", "Zeta Rose", "9 Lilygarden, Pune, 500001", "IN")], many + [(f"S2-{i:04d}", "Foods Zeta", f"{i % 4} Rosegarden, 411001", "IN") for i in range(0, 420, 3)]
+    one, rest = (normalized(spark.createDataFrame(r, SCHEMA)).persist() for r in (ones, many))
+    whole = {kind: 10**9 for kind in B.CAPS}
+    every = B.with_metadata(B.candidates(one, rest, whole), latest(one), latest(rest)).persist()
+    for most in (3, 100):
+        wanted = rows(B.shortlist(every, most).select("s1", "cid", "shortlist_score"))
+        assert rows(B.shortlisted_of_all(one, rest, most).select("s1", "cid", "shortlist_score")) == wanted
+        assert most == 100 or len(wanted) < every.count() / 20
+    assert again or rows(B.reranked_by_name(B.shortlisted_of_all(one, rest), one, rest)) == rows(B.reranked(B.shortlist(every)))
+
+
+def test_training_sees_partners_beyond_any_cap(spark):
+    """The only true partner has the largest id of 400 that share its keys; with capped keys it is no candidate."""
+    ones = normalized(spark.createDataFrame([("S1-1", "Acme Foods", None, "IN")], SCHEMA))
+    many = normalized(spark.createDataFrame([(f"S2-{i:04d}", f"Acme Foods Q{i}" if i < 400 else "Acme Foods", None, "IN") for i in range(401)], SCHEMA))
+    capped, found = ([r["cid"] for r in short(ones, many).collect()] for short in (B.shortlisted, B.shortlisted_of_all))
+    assert "S2-0400" not in capped and "S2-0400" in found and len(found) == 100
+    frames = type("Frames", (), {"s1": ones, "others": many, "all": ones.unionByName(many), "truth": spark.createDataFrame([("S1-1", "S2-0400")], "s1 string, cid string")})
+    labelled, _ = queries._gbt(frames)
+    assert [r["cid"] for r in labelled.where("label = 1").collect()] == ["S2-0400"]
+
+
 def test_texts_of_both_sides_are_shuffled_no_second_time(sides):
     pairs = sides[0].sparkSession.createDataFrame([("S1-1", "S2-1")], "s1 string, cid string")
     plan = pair_features(pairs, sides[0].unionByName(sides[1]))._jdf.queryExecution().executedPlan().toString()
